@@ -14,6 +14,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD_CHARS = r"\p{L}\p{N}_"
 SPACE_CHARS = r"\t-\r\x1c-\x20\x85\p{Z}"
@@ -163,7 +164,7 @@ def strip_accents(text: Column) -> Column:
     return F.translate(text, source, target)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents_full(texts: pd.Series) -> pd.Series:
     """Complete decomposition, including ligatures; crosses to Python in Arrow batches."""
     return texts.map(_plain, na_action="ignore")

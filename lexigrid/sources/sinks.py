@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SELECTED_MODEL = T.StructType.fromDDL(
-    "name string, vectorizer struct<class:string,params:string>, "
-    "classifier struct<type:string,params:string>, "
-    "metrics struct<accuracy:double,macro_f1:double,holdout_macro_f1:double,cv_macro_f1_mean:double>, "
-    "weight double"
+# params are read as JSON text: their keys differ from model to model
+SELECTION_DDL = (
+    "selected_models array<struct<name:string,"
+    "vectorizer:struct<class:string,params:string>,classifier:struct<type:string,params:string>,"
+    "metrics:struct<accuracy:double,macro_f1:double,holdout_macro_f1:double,cv_macro_f1_mean:double>,"
+    "weight:double>>"
 )
 
 
@@ -79,8 +80,7 @@ def selection_document(selection: DataFrame) -> DataFrame:
 
 def read_selection(spark: SparkSession, path: str) -> DataFrame:
     """One row per selected model; a missing weight is 1.  Params stay JSON text."""
-    schema = T.StructType([T.StructField("selected_models", T.ArrayType(SELECTED_MODEL))])
-    doc = spark.read.schema(schema).json(path, multiLine=True)
+    doc = spark.read.schema(SELECTION_DDL).json(path, multiLine=True)
     return doc.select(F.posexplode("selected_models").alias("pos", "m")).select(
         (F.col("pos") + 1).alias("rank"),
         F.coalesce("m.name", F.lit("model")).alias("name"),
