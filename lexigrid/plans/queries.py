@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.functions import text as tx
-from lexigrid.functions.vectors import argmax_index, array_to_vector, masked_mean_pool
+from lexigrid.functions.vectors import argmax_index, array_to_vector, masked_mean_pool, vector_to_array
 from lexigrid.operators import diversity, embed, ensemble, metrics, profile, split, sweep, vocab
+from lexigrid.operators.classifiers import fit_classifier, training_labels
 from lexigrid.operators.features import (
     NgramVectorizer,
     count_long,
@@ -28,7 +32,8 @@ from lexigrid.operators.naive_bayes import (
     cnb_weights_long,
     predict_models,
 )
-from lexigrid.session import keep
+from lexigrid.plans import study
+from lexigrid.session import keep, spread
 from lexigrid.sources.corpus import documents, pick, table
 from lexigrid.sources.sinks import correlation_matrix
 
@@ -625,3 +630,183 @@ def pending_scores(spark, sf):
     done = model_predictions(spark, sf)
     left = sweep.pending(corpus, [m[0] for m in CNB_MODELS], done)
     return left.groupBy("model").agg(F.count("*").alias("n_pending"), F.sum("doc_id").alias("id_sum"))
+
+
+# --- trained models: row checks in the driver, quality tests in tests/ ----
+
+
+def _dense(spark, sf) -> DataFrame:
+    """Embedding vectors with their class as a split corpus."""
+    e = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("doc_id"),
+        F.col("label").cast("string").alias("label"),
+        array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"),
+    )
+    return split.holdout(spread(e, "doc_id"), 0.3)
+
+
+def _tfidf_split(spark, sf, label="lang", size=300) -> tuple[DataFrame, DataFrame]:
+    parts = split.holdout(documents(spark, sf, label), 0.3)
+    model = NgramVectorizer(analyzer="word", minDF=2.0, maxFeatures=size).fit(parts.filter("part = 'train'"))
+    rows = keep(featurize(model, parts, "doc_id", "label", "part"))
+    return rows.filter("part = 'train'"), rows.filter("part = 'test'")
+
+
+def _trained(spark, sf, kind, params, dense=False) -> DataFrame:
+    if dense:
+        rows = keep(_dense(spark, sf))
+        train, test = rows.filter("part = 'train'"), rows.filter("part = 'test'")
+    else:
+        train, test = _tfidf_split(spark, sf)
+    fitted = fit_classifier(kind, train, params)
+    return fitted.predict(test).select("doc_id", F.col("label").alias("y_true"), "y_pred", F.array_max("proba").alias("p_best"))
+
+
+@query
+def lr_ovr(spark, sf):
+    return _trained(spark, sf, "logreg", {"C": 1.0, "max_iter": 50, "solver": "liblinear"})
+
+
+@query
+def lr_multinomial(spark, sf):
+    return _trained(spark, sf, "logreg", {"C": 1.0, "max_iter": 50, "solver": "saga", "penalty": "elasticnet"})
+
+
+@query
+def rf(spark, sf):
+    return _trained(spark, sf, "rf", {"n_estimators": 20, "max_depth": 8})
+
+
+@query
+def mlp(spark, sf):
+    return _trained(spark, sf, "mlp", {"hidden_layer_sizes": [32], "max_iter": 40}, dense=True)
+
+
+@query
+def gbt_ovr(spark, sf):
+    return _trained(spark, sf, "xgb", {"n_estimators": 5, "max_depth": 4})
+
+
+@query
+def linear_svc(spark, sf):
+    return _trained(spark, sf, "linear_svc", {"C": 1.0, "max_iter": 30, "class_weight": "balanced"})
+
+
+@query
+def rff_svc(spark, sf):
+    return _trained(spark, sf, "svc", {"C": 1.0, "n_components": 128, "max_iter": 30})
+
+
+@query
+def cnb_mllib(spark, sf):
+    """Complement naive Bayes through Spark ML; equal to ``cnb_predict``."""
+    parts, model, rows = _word_counts(spark, sf, "lang")
+    fitted = fit_classifier("cnb", rows.filter("part = 'train'"), {"alpha": 1.0})
+    out = fitted.predict(rows.filter("part = 'test'"))
+    return out.select("doc_id", F.col("label").alias("y_true"), "y_pred", F.round(F.array_max("proba"), 6).alias("p_best"))
+
+
+@query
+def w2v_docvec(spark, sf):
+    corpus = documents(spark, sf)
+    vectors = embed.fit_word_vectors(corpus, vector_size=50, window=5, min_count=2, epochs=1)
+    return vectors.transform(corpus).select("doc_id", vector_to_array("features").alias("vector"))
+
+
+@query
+def subword_embed(spark, sf):
+    corpus = documents(spark, sf)
+    vectors = embed.fit_subword_vectors(corpus, vector_size=25, min_count=5, epochs=1, buckets=5000)
+    return vectors.transform(corpus).select("doc_id", vector_to_array("features").alias("vector"))
+
+
+@query
+def encoder_embed(spark, sf):
+    out = embed.encode_texts(documents(spark, sf), embed.hash_token_encoder(16, max_length=None))
+    return out.select("doc_id", vector_to_array("features").alias("vector"))
+
+
+@query
+def grid_search(spark, sf):
+    """Elastic-net grid on exact folds, refitted and scored on the holdout."""
+    train, test = _tfidf_split(spark, sf, "quality")
+    labels = training_labels(train)
+    coder = StringIndexerModel.from_labels(labels, inputCol="label", outputCol="label_idx")
+    lr = LogisticRegression(labelCol="label_idx", standardization=False, maxIter=30)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
+    best = study.grid_search(lr, grid, coder.transform(train), k=3)
+    scored = best.transform(coder.transform(test)).select(
+        F.col("label_idx").alias("y_true"), F.col("prediction").alias("y_pred")
+    )
+    points = spark.createDataFrame(
+        [(i, float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
+         for i, (p, m) in enumerate(zip(grid, best.avgMetrics))],
+        "point int, reg_param double, elastic_net double, cv_macro_f1 double",
+    )
+    holdout = metrics.scores(scored).first()
+    return points.withColumn("holdout_macro_f1", F.lit(holdout["macro_f1"]))
+
+
+SMALL_VECTORIZERS = [
+    ("tfidf_w", "tfidf", {"ngram_range": [1, 2], "min_df": 2, "max_features": 300}),
+    ("tfidf_c", "tfidf", {"analyzer": "char", "ngram_range": [3, 3], "min_df": 2, "max_features": 300}),
+]
+SMALL_CLASSIFIERS = [
+    ("lr", "logreg", {"C": 10.0, "max_iter": 30}),
+    ("rf", "rf", {"n_estimators": 10, "max_depth": 6}),
+]
+
+
+def _specs(items):
+    return [study.Component(*x) for x in items]
+
+
+def _small_study(spark, sf):
+    return study.holdout_study(documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS), _specs(SMALL_CLASSIFIERS))
+
+
+@query
+def holdout_study(spark, sf):
+    return _small_study(spark, sf).results().drop("vectorizer_fit_time", "classifier_fit_time")
+
+
+@query
+def cv_study(spark, sf):
+    out = study.cv_study(
+        documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS[:1]),
+        _specs([("cnb", "cnb", {"alpha": 1.0}), ("lr", "logreg", {"max_iter": 20})]), k=3,
+    )
+    return study.cv_summary(out)
+
+
+def _selected(spark, preds, strategy, **limits) -> DataFrame:
+    chosen, weights = study.choose_models(preds, QUALITY_LABELS, strategy, **limits)
+    return spark.createDataFrame([(i + 1, n, weights[n]) for i, n in enumerate(chosen)], "rank int, model string, weight double")
+
+
+@query
+def select_threshold(spark, sf):
+    return _selected(spark, keep_predictions(spark, sf), "threshold", max_corr=0.6, max_double_fault=0.12)
+
+
+@query
+def select_forward(spark, sf):
+    return _selected(spark, keep_predictions(spark, sf), "forward")
+
+
+@query
+def select_improve(spark, sf):
+    return _selected(spark, keep_predictions(spark, sf), "improve")
+
+
+@query
+def ensemble_end_to_end(spark, sf):
+    """Study, selection, training of the selection and weighted vote over the holdout."""
+    corpus = documents(spark, sf, "quality")
+    grid = _small_study(spark, sf)
+    chosen, weights = study.choose_models(grid.predictions, grid.labels, "improve")
+    vec = {v[0]: study.Component(*v) for v in SMALL_VECTORIZERS}
+    clf = {c[0]: study.Component(*c) for c in SMALL_CLASSIFIERS}
+    members = [(n, vec[n.split("+")[0]], clf[n.split("+")[1]], weights[n]) for n in chosen]
+    votes, _ = study.run_ensemble(corpus, members)
+    return votes.select("doc_id", "y_true", "y_pred", F.array_max("proba").alias("p_best"))
