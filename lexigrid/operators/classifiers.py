@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.vectors import align_to_labels, argmax_index, normalise_sum, project_rows
 from lexigrid.operators.features import feature_variance
 from lexigrid.operators.profile import with_class_weight
-from lexigrid.session import keep
+from lexigrid.session import keep, pack, run_parallel
 
 MAX_DEPTH = 30  # Spark ML trees stop here; deeper or unlimited settings are capped
 
@@ -62,7 +62,9 @@ def _indexed(df: DataFrame, labels: list[str]) -> DataFrame:
 def _multiclass(train: DataFrame, build) -> Fitted:
     """Estimators that handle several classes and emit probabilities themselves."""
     labels = training_labels(train)
-    model = build(len(labels)).fit(_indexed(train, labels))
+    rows = keep(pack(_indexed(train, labels), train.count()))
+    model = build(len(labels)).fit(rows)
+    rows.unpersist()
     model.setPredictionCol("_pred").setProbabilityCol("_prob").setRawPredictionCol("_raw")
 
     def score(rows: DataFrame) -> DataFrame:
@@ -78,14 +80,13 @@ def _one_vs_rest(train: DataFrame, build, to_score: Callable[[Column, int], Colu
     scored by all of them without leaving the JVM.
     """
     labels = training_labels(train)
-    indexed = keep(_indexed(train, labels))
+    indexed = keep(pack(_indexed(train, labels), train.count()))
     positives = labels if len(labels) > 2 else labels[1:]
-    models = []
-    for j in range(len(labels)):
-        if labels[j] not in positives:
-            continue
-        rows = indexed.withColumn("_y", (F.col("_y") == j).cast("double"))
-        models.append(build().fit(rows))
+
+    def fit(name: str):
+        return build().fit(indexed.withColumn("_y", (F.col("_y") == labels.index(name)).cast("double")))
+
+    models = run_parallel([lambda name=name: fit(name) for name in positives])
     indexed.unpersist()
 
     def score(rows: DataFrame) -> DataFrame:
@@ -207,15 +208,17 @@ def _platt(train: DataFrame, build) -> Fitted:
         )
 
     positives = labels if len(labels) > 2 else labels[1:]
-    scored = keep(margins(_indexed(train, labels)).select("label", "_m"))
-    curve = []
-    for j, name in enumerate(positives):
+    scored = keep(pack(margins(_indexed(train, labels)).select("label", "_m"), train.count()))
+
+    def fit(j: int, name: str) -> tuple[float, float]:
         rows = scored.select(
             array_to_vector(F.array(F.get("_m", F.lit(j)))).alias("features"),
             (F.col("label") == name).cast("double").alias("_y"),
         )
-        fit = LogisticRegression(labelCol="_y", maxIter=50).fit(rows)
-        curve.append((float(fit.coefficients[0]), float(fit.intercept)))
+        model = LogisticRegression(labelCol="_y", maxIter=20).fit(rows)
+        return float(model.coefficients[0]), float(model.intercept)
+
+    curve = run_parallel([lambda j=j, name=name: fit(j, name) for j, name in enumerate(positives)])
     scored.unpersist()
 
     def score(rows: DataFrame) -> DataFrame:

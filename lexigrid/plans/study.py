@@ -7,11 +7,10 @@ predictions are appended to one long table, and all metrics come from grouped qu
 
 from __future__ import annotations
 
+import json
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ from lexigrid.operators import diversity, ensemble, metrics, profile, split
 from lexigrid.operators.classifiers import fit_classifier
 from lexigrid.operators.embed import encode_texts, fit_subword_vectors, fit_word_vectors, hash_token_encoder
 from lexigrid.operators.features import NgramVectorizer
+from lexigrid.session import keep, pack, run_parallel
 from lexigrid.sources.cache import StudyStore, params_hash
 from lexigrid.sources.sinks import selection_document, write_json, write_predictions
 
@@ -81,14 +81,6 @@ def fit_vectorizer(spec: Component, train: DataFrame):
     raise ValueError(f"unknown vectorizer {spec.kind!r}")
 
 
-def _parallel(tasks, workers: int) -> list:
-    """Submit independent combinations from a few driver threads."""
-    if workers <= 1:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(lambda t: inheritable_thread_target(t)(), tasks))
-
-
 def _run_combos(
     train: DataFrame, test: DataFrame, split_id: str, vec: Component, classifiers: list[Component],
     labels: list[str], store: StudyStore, scope: DataFrame, parallelism: int, suffix: dict,
@@ -127,7 +119,7 @@ def _run_combos(
             row["status"] = f"failed: {error}"[:500]
         return row
 
-    return _parallel([lambda c=c: run(c) for c in classifiers], parallelism)
+    return run_parallel([lambda c=c: run(c) for c in classifiers], parallelism)
 
 
 def labels_of(corpus: DataFrame) -> list[str]:
@@ -234,14 +226,16 @@ def pipeline_report(holdout: Study | None, cv: Study | None) -> DataFrame:
     return out.withColumn("run_timestamp", F.current_timestamp())
 
 
-def grid_search(estimator, grid: list, train: DataFrame, k: int = 3, seed: int = 42, parallelism: int = 2,
+def grid_search(estimator, grid: list, train: DataFrame, k: int = 3, seed: int = 42, parallelism: int = 4,
                 label_idx: str = "label_idx") -> CrossValidatorModel:
     """Macro-F1 grid search over exact stratified folds; the best point is refitted on all rows."""
-    folded = split.kfold(train, k, seed, label="label")
-    return CrossValidator(
+    folded = keep(pack(split.kfold(train, k, seed, label="label"), train.count()))
+    best = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=metrics.MacroF1Evaluator(labelCol=label_idx),
         foldCol="fold", numFolds=k, parallelism=parallelism, seed=seed,
     ).fit(folded)
+    folded.unpersist()
+    return best
 
 
 # --- ensembles ------------------------------------------------------------
@@ -278,8 +272,6 @@ def choose_models(
 
 def selection_table(spark, chosen: list[str], weights: dict, specs: dict, scores: DataFrame) -> DataFrame:
     """Ranked selection with component specs, ready for the selection document."""
-    import json
-
     rows = [
         (i + 1, n, specs[n][0].kind, json.dumps(specs[n][0].params), specs[n][1].kind, json.dumps(specs[n][1].params), weights[n])
         for i, n in enumerate(chosen)
@@ -301,8 +293,6 @@ def write_selection(selection: DataFrame, path: str) -> None:
 
 def ensemble_members(selection: DataFrame | None) -> list[tuple[str, Component, Component, float]]:
     """Specs from a selection document, or the default pair with weight 1."""
-    import json
-
     if selection is not None:
         rows = selection.orderBy("rank").collect()
         if rows:
@@ -329,7 +319,7 @@ def run_ensemble(
     labels = labels_of(corpus)
     train, test = parts.filter("part = 'train'"), parts.filter("part = 'test'")
     runs = []
-    for _, vec, clf, _ in members:
+    for _, vec, clf, _ in members:  # a member is named after its vectorizer and classifier
         runs += _run_combos(train, test, split_id, vec, [clf], labels, store, train, 1, {"scope": "train"})
     failed = [r for r in runs if r["status"].startswith("failed")]
     if failed:
@@ -339,9 +329,7 @@ def run_ensemble(
         [(r["model"], float(m[3])) for r, m in zip(runs, members, strict=True)], "model string, weight double"
     )
     votes = ensemble.soft_vote(preds, weights, labels)
-    members_acc = metrics.accuracy(preds, "model").select(
-        F.substring_index("model", "+", F.lit(-1)).alias("_n"), "model", "accuracy"
-    )
+    members_acc = metrics.accuracy(preds, "model")
     sizes = profile.split_sizes(parts).select("n_train", "n_test").first()
     listed = members_acc.agg(
         F.sort_array(F.collect_list(F.struct(F.col("model").alias("name"), "accuracy"))).alias("models")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +67,19 @@ def cut(df: DataFrame) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Cache with spill to disk for data that several jobs of one step read."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def run_parallel(tasks: list, workers: int = 4) -> list:
+    """Run independent fits from a few driver threads; Spark interleaves their small jobs."""
+    if workers <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(min(workers, len(tasks))) as pool:
+        return list(pool.map(lambda t: inheritable_thread_target(t)(), tasks))
+
+
+def pack(df: DataFrame, n_rows: int, rows_per_partition: int = 2000) -> DataFrame:
+    """Fewer partitions for a small training set, whose iterations are all task overhead.
+
+    Narrow, and without effect once the data has that many rows per partition.
+    """
+    return df.coalesce(max(1, -(-n_rows // rows_per_partition)))
