@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.vectors import argmax_index
+from lexigrid.functions.vectors import argmax_index, scale
 from lexigrid.operators.metrics import scores
 
 # Sums of probabilities are rounded before the arg-max, so that the order in which Spark adds
@@ -122,7 +122,7 @@ def model_matrix(preds: DataFrame, models: list[str]) -> DataFrame:
 def _weighted_sum(probas: Column, weights: list[tuple[int, float]]) -> Column:
     total = None
     for i, w in weights:
-        part = F.transform(F.get(probas, F.lit(i)), lambda x, w=w: x * F.lit(w))
+        part = scale(F.get(probas, F.lit(i)), F.lit(w))
         total = part if total is None else F.zip_with(total, part, lambda a, b: a + b)
     return total
 

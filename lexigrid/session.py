@@ -74,7 +74,8 @@ def run_parallel(tasks: list, workers: int = 4) -> list:
     if workers <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(min(workers, len(tasks))) as pool:
-        return list(pool.map(lambda t: inheritable_thread_target(t)(), tasks))
+        inherit = inheritable_thread_target(SparkSession.getActiveSession())
+        return list(pool.map(lambda t: inherit(t)(), tasks))
 
 
 def pack(df: DataFrame, n_rows: int, rows_per_partition: int = 2000) -> DataFrame:
