@@ -118,6 +118,11 @@ def fit_vocabulary(
     )
 
 
+def stored_vocabulary(*args, **kwargs) -> DataFrame:
+    """A fitted vocabulary in reliable storage, for joins that read it more than once."""
+    return cut(fit_vocabulary(*args, **kwargs))
+
+
 def space_profile(stats: DataFrame, n_docs: int, name: str, min_df: int, max_features: int) -> DataFrame:
     """Size of a candidate feature space from term statistics alone.
 

@@ -340,9 +340,11 @@ def statements() -> dict[str, str]:
         + " SELECT d.doc_id, coalesce(n_known, 0) AS n_known, round(coalesce(total, 0.0), 6) AS component_sum, round(coalesce(first, 0.0), 6) AS first_component "
         "FROM docs d LEFT JOIN known k ON k.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id"
     )
-    q["masked_mean_pool_by_label"] = (
-        "WITH c AS (SELECT label, CAST(unnest(range(0, 64)) AS INTEGER) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x, CASE WHEN embedding[1] > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS m FROM embeddings) "
-        "SELECT label, dim, round(sum(x * m) / greatest(sum(m), 1e-9), 6) AS x FROM c GROUP BY ALL"
+    q["masked_mean_pool_rows"] = (
+        "WITH t AS (SELECT vec_id, embedding, unnest(range(0, 8)) AS t FROM embeddings), "
+        "c AS (SELECT vec_id, CAST(unnest(range(0, 8)) AS INTEGER) AS dim, CAST(unnest(embedding[t * 8 + 1:t * 8 + 8]) AS DOUBLE) AS x, "
+        "CASE WHEN embedding[t * 8 + 1] > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS m FROM t) "
+        "SELECT vec_id, dim, round(sum(x * m) / greatest(sum(m), 1e-9), 6) AS x FROM c GROUP BY ALL"
     )
     q["argmax_label"] = "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS best FROM embeddings"
 

@@ -255,7 +255,7 @@ def hstack_long(spark, sf):
     corpus = documents(spark, sf)
     blocks = []
     for grams in (tx.word_tokens(F.col("text")), tx.char_ngrams(F.col("text"), 3, 3)):
-        v = vocab.fit_vocabulary(corpus, grams, min_df=2, max_features=200)
+        v = vocab.stored_vocabulary(corpus, grams, min_df=2, max_features=200)
         cells = count_long(corpus, grams, v, "label").select("label", "idx", F.col("tf").alias("value"))
         blocks.append((cells, 200))
     return stack_long(blocks, "label").groupBy("label", "idx").agg(F.sum("value").alias("value"))
@@ -290,7 +290,7 @@ def doc_mean_vector(spark, sf):
     """Mean vector of the known words; the word vectors are the first words of the
     vocabulary paired with the embedding table by position."""
     corpus = documents(spark, sf)
-    words = vocab.fit_vocabulary(corpus, tx.ws_tokens(F.col("text")), max_features=200)
+    words = vocab.stored_vocabulary(corpus, tx.ws_tokens(F.col("text")), max_features=200)
     vectors = words.join(table(spark, sf, "embeddings"), F.col("idx") == F.col("vec_id")).select(
         F.col("term").alias("word"), array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("vector")
     )
@@ -304,16 +304,15 @@ def doc_mean_vector(spark, sf):
 
 
 @query
-def masked_mean_pool_by_label(spark, sf):
-    """Masked mean over each label's vectors, the mask being the sign of the first cell."""
-    e = table(spark, sf, "embeddings").groupBy("label").agg(
-        F.sort_array(F.collect_list(F.struct("vec_id", "embedding"))).alias("rows")
-    )
-    toks = F.transform("rows", lambda r: r["embedding"])
-    mask = F.transform("rows", lambda r: F.when(r["embedding"][0] > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    pooled = e.select("label", masked_mean_pool(toks, mask).alias("v"))
-    return pooled.select("label", F.posexplode("v").alias("dim", "x")).select(
-        "label", "dim", F.round("x", 6).alias("x")
+def masked_mean_pool_rows(spark, sf):
+    """Each 64-cell vector read as eight token vectors of eight cells; a token counts if its
+    first cell is positive."""
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda t: F.slice("embedding", t * 8 + 1, F.lit(8)))
+    e = table(spark, sf, "embeddings").select("vec_id", tokens.alias("t"))
+    mask = F.transform("t", lambda v: F.when(v[0] > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    pooled = e.select("vec_id", masked_mean_pool(F.col("t"), mask).alias("v"))
+    return pooled.select("vec_id", F.posexplode("v").alias("dim", "x")).select(
+        "vec_id", "dim", F.round("x", 6).alias("x")
     )
 
 
@@ -398,7 +397,7 @@ def cnb_fit(spark, sf):
     parts = split.holdout(documents(spark, sf), 0.3)
     grams = tx.word_tokens(F.col("text"))
     train = parts.filter("part = 'train'")
-    v = vocab.fit_vocabulary(train, grams, min_df=2, max_features=500)
+    v = vocab.stored_vocabulary(train, grams, min_df=2, max_features=500)
     cells = count_long(train, grams, v, "label")
     w = cnb_weights_long(cells, v, 1.0)
     return w.select("label", "idx", F.round("weight", 9).alias("weight"))
@@ -418,7 +417,7 @@ def cnb_score_long(spark, sf):
     parts = split.holdout(documents(spark, sf), 0.3)
     grams = tx.word_tokens(F.col("text"))
     train, test = parts.filter("part = 'train'"), parts.filter("part = 'test'")
-    v = vocab.fit_vocabulary(train, grams, min_df=2, max_features=500)
+    v = vocab.stored_vocabulary(train, grams, min_df=2, max_features=500)
     w = cnb_weights_long(count_long(train, grams, v, "label"), v, 1.0)
     labels = [r["label"] for r in profile.label_space(parts).orderBy("idx").collect()]
     s = cnb_scores_long(count_long(test, grams, v, "doc_id"), test, w, labels)

@@ -91,6 +91,7 @@ def documents(spark: SparkSession, base: str, label: str = "lang") -> DataFrame:
     docs = table(spark, base, "documents")
     if label in docs.columns:
         return spread(as_corpus(docs, "text", label, "doc_id"), "doc_id")
-    labels = table(spark, base, "labels")
-    joined = docs.select("doc_id", "text").join(labels.select("doc_id", label), "doc_id")
-    return spread(as_corpus(joined, "text", label, "doc_id"), "doc_id")
+    # spread the scan, not the join: the join then keeps the partitioning on the id
+    texts = spread(docs.select("doc_id", "text"), "doc_id")
+    labels = table(spark, base, "labels").select("doc_id", label)
+    return as_corpus(texts.join(labels, "doc_id"), "text", label, "doc_id")
