@@ -34,6 +34,7 @@ from lexigrid.operators.naive_bayes import (
 )
 from lexigrid.plans import study
 from lexigrid.session import keep, spread
+from lexigrid.sources.cache import StudyStore
 from lexigrid.sources.corpus import documents, pick, table
 from lexigrid.sources.sinks import correlation_matrix
 
@@ -760,8 +761,10 @@ def _specs(items):
     return [study.Component(*x) for x in items]
 
 
-def _small_study(spark, sf):
-    return study.holdout_study(documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS), _specs(SMALL_CLASSIFIERS))
+def _small_study(spark, sf, store=None):
+    return study.holdout_study(
+        documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS), _specs(SMALL_CLASSIFIERS), store=store
+    )
 
 
 @query
@@ -800,12 +803,13 @@ def select_improve(spark, sf):
 
 @query
 def ensemble_end_to_end(spark, sf):
-    """Study, selection, training of the selection and weighted vote over the holdout."""
+    """Study, selection and weighted vote over the holdout; the members come from the store."""
     corpus = documents(spark, sf, "quality")
-    grid = _small_study(spark, sf)
+    store = StudyStore(spark)
+    grid = _small_study(spark, sf, store)
     chosen, weights = study.choose_models(grid.predictions, grid.labels, "improve")
     vec = {v[0]: study.Component(*v) for v in SMALL_VECTORIZERS}
     clf = {c[0]: study.Component(*c) for c in SMALL_CLASSIFIERS}
     members = [(n, vec[n.split("+")[0]], clf[n.split("+")[1]], weights[n]) for n in chosen]
-    votes, _ = study.run_ensemble(corpus, members)
+    votes, _ = study.run_ensemble(corpus, members, store=store)
     return votes.select("doc_id", "y_true", "y_pred", F.array_max("proba").alias("p_best"))
