@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import decontaminate, line_rules, mixing, quality_model, simhash, token_files
+from lexigrid.llm import decontaminate, html_extract, line_rules, mixing, quality_model, simhash, token_files, url_filter
 from lexigrid.llm.common import table
 
 #: Token id that ends a document, and the tokenizer file.
 END_ID, TOKENIZER = 2, "byte_bpe_50k.json"
 
 
+#: Verdict and rule (host/path) of the URL filter.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    model = url_filter.fit_urls(url_filter.labelled_urls(pages.select("url")))
+    return url_filter.judged_urls(pages, URL_RULES, model).drop("url")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -31,6 +41,10 @@ def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents")).drop("host")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -54,7 +68,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op4_quality, op5_line_rules, op8_decontaminate, op9_mixing, op10_token_files, pipeline)
+    f.__name__: f for f in (op1_url_filter, op2_simhash, op4_quality, op5_line_rules, op6_html_text, op8_decontaminate, op9_mixing, op10_token_files, pipeline)
 }
 
 
