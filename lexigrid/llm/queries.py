@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import decontaminate, html_extract, line_rules, mixing, quality_model, simhash, token_files, url_filter
+from lexigrid.llm import decontaminate, html_extract, line_rules, mixing, quality_model, rlz_dedup, simhash, suffix_dedup, token_files, url_filter
 from lexigrid.llm.common import table
 
 #: Token id that ends a document, and the tokenizer file.
@@ -29,6 +29,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz_dedup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -45,6 +49,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.expr("cast(size(spans) div 2 as long)").alias("n_spans"), "kept_sha256")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -68,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_simhash, op4_quality, op5_line_rules, op6_html_text, op8_decontaminate, op9_mixing, op10_token_files, pipeline)
+    f.__name__: f for f in (op1_url_filter, op2_simhash, op3_substrings, op4_quality, op5_line_rules, op6_html_text, op7_suffix_array, op8_decontaminate, op9_mixing, op10_token_files, pipeline)
 }
 
 

@@ -8,9 +8,12 @@ equal anchors. Hashing and sliding minima are numpy passes over pieces of bounde
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
 #: Window starts handled at once.
 PIECE = 1 << 18
@@ -54,15 +57,15 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - n)], x[width - n :]) if n < width else x
 
 
-def stretches(units: np.ndarray, lengths: np.ndarray, width: int, gram: int) -> Stretches:
-    """Stretches of several texts laid end to end; units are 64-bit codes, positions count within each text."""
+def stretches(units: Callable[[int, int], np.ndarray], lengths: np.ndarray, width: int, gram: int) -> Stretches:
+    """Stretches of several texts laid end to end; units(a, b) gives 64-bit codes, positions count within each text."""
     ends = np.cumsum(lengths)
     firsts = ends - lengths
     out: list[tuple[np.ndarray, ...]] = []
-    n_starts = len(units) - width + 1
+    n_starts = int(lengths.sum()) - width + 1
     for at in range(0, max(0, n_starts), PIECE):
         stop = min(at + PIECE, n_starts)
-        grams = gram_hashes(units[at : stop + width - 1], gram)
+        grams = gram_hashes(units(at, stop + width - 1), gram)
         least = _sliding_min((grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), width - gram + 1)
         anchor = (least & _LOW).astype(np.int64)
         start = np.arange(at, stop)
@@ -88,3 +91,28 @@ def covered(starts: np.ndarray, counts: np.ndarray, width: int, n: int) -> np.nd
     np.add.at(edge, starts + counts - 1 + width, -1)
     inside = (np.cumsum(edge)[:n] > 0).astype(np.int8)
     return np.flatnonzero(np.diff(np.concatenate(([0], inside, [0]))))
+
+
+def packed(start: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """A stretch in one integer: its start, its windows (up to 512), and how far behind the start its anchor is (under 512)."""
+    return start << 18 | (count - 1) << 9 | (anchor - start)
+
+
+def unpacked(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, count and anchor."""
+    start = pack >> 18
+    return start, (pack >> 9 & 511) + 1, start + (pack & 511)
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose binary column holds about `limit` bytes, or one row with more."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum([0 if x is None else x for x in pa.compute.binary_length(batch.column(column)).to_pylist()])
+        cuts = np.unique(np.searchsorted(sizes, np.arange(limit, int(sizes[-1]) + limit, limit), side="left") + 1)
+        at = 0
+        for cut in [*cuts.tolist(), batch.num_rows]:
+            if cut > at:
+                yield batch.slice(at, min(cut, batch.num_rows) - at)
+                at = min(cut, batch.num_rows)
