@@ -19,6 +19,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from lexigrid.llm.common import scratch
 
-#: Entries that a worker's table of encoded words may hold before it starts anew.
-MEMO_ENTRIES = 400_000
+#: Entries that a worker's table of encoded words may hold before it starts anew, at some 150 bytes.
+MEMO_ENTRIES = 700_000
 #: Text bytes of a file, about.
 FILE_BYTES = 64 << 20
 
@@ -108,6 +109,12 @@ class Encoder:
         return b"".join(out)
 
 
+@lru_cache(maxsize=1)
+def _encoder(*args) -> Encoder:
+    """A worker that is used again keeps its encoder and what that has learnt."""
+    return Encoder(*args)
+
+
 def _filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
@@ -129,7 +136,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, special_as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer, end_id, special_as_text)
+        encoder = _encoder(tokenizer, end_id, special_as_text)
         fs, path = _filesystem(folder)
         fs.create_dir(path, recursive=True)
         part = TaskContext.get().partitionId()
