@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import decontaminate, html_extract, line_rules, mixing, quality_model, rlz_dedup, simhash, suffix_dedup, token_files, url_filter
+from lexigrid.llm import decontaminate, html_extract, line_rules, mixing, quality_model, rlz_dedup, simhash, sql, suffix_dedup, token_files, url_filter
 from lexigrid.llm.common import table
 
 #: Token id that ends a document, and the tokenizer file.
@@ -82,4 +82,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return dict(sql.STATEMENTS)
