@@ -112,7 +112,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 2
         sizes = np.cumsum([0 if x is None else x for x in pa.compute.binary_length(batch.column(column)).to_pylist()])
         cuts = np.unique(np.searchsorted(sizes, np.arange(limit, int(sizes[-1]) + limit, limit), side="left") + 1)
         at = 0
-        for cut in [*cuts.tolist(), batch.num_rows]:
+        for cut in np.minimum([*cuts.tolist(), batch.num_rows], batch.num_rows).tolist():
             if cut > at:
-                yield batch.slice(at, min(cut, batch.num_rows) - at)
-                at = min(cut, batch.num_rows)
+                yield batch.slice(at, cut - at)
+                at = cut

@@ -433,3 +433,13 @@ def test_empty_tables(none):
     assert line_rules.judged(none).isEmpty() and mixing.takes(none).isEmpty() and mixing.mixed(none).isEmpty()
     assert token_files.token_files(none, public_tokenizers.path("byte_bpe_50k.json"), 2).isEmpty()
     assert quality_model.quality_scores(none, quality_model.fit_trees(np.zeros((0, len(quality_model.FEATURES))), np.zeros(0))).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1, 7, 100, 10_000])
+def test_slices_by_bytes_are_whole_and_never_empty(limit):
+    import pyarrow as pa
+
+    texts = [b"x" * n for n in (0, 5, 0, 300, 1, 1, 1, 0)]
+    batch = pa.RecordBatch.from_pydict({"t": pa.array([*texts, None], pa.binary())})
+    parts = list(windows.by_bytes(iter([batch, batch.slice(0, 0)]), 0, limit))
+    assert all(p.num_rows for p in parts) and pa.Table.from_batches(parts).column(0).to_pylist() == [*texts, None]
