@@ -14,7 +14,7 @@ HEADLINE = (
     "class_balance", "word_ngrams", "char_ngrams", "top_tokens_per_class", "regex_flags", "vocab_fit", "tfidf",
     "tfidf_unbounded", "tfidf_word_char_flags", "feature_space_profile", "stratified_holdout", "stratified_kfold",
     "cnb_predict", "classification_report", "pairwise_diversity", "soft_vote", "param_sweep", "lr_ovr", "rf",
-    "gbt_ovr", "encoder_embed",
+    "gbt_ovr", "w2v_docvec", "holdout_study", "cv_study", "ensemble_end_to_end",
 )
 
 

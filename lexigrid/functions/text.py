@@ -7,14 +7,13 @@ functions only.  Character classes are spelled out in Unicode terms because
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 WORD_CHARS = r"\p{L}\p{N}_"
 SPACE_CHARS = r"\t-\r\x1c-\x20\x85\p{Z}"
@@ -140,34 +139,36 @@ def _plain(ch: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _accent_map() -> tuple[str, str]:
-    """(from, to) for ``translate``: characters whose decomposition leaves one or no base."""
-    one, none = [], []
+def _accent_map() -> tuple[str, str, list[tuple[str, str]]]:
+    """(from, to) for ``translate``: characters whose decomposition leaves one or no base; and those with several."""
+    one, none, many = [], [], []
     for code in range(0x80, min(sys.maxunicode, 0xFFFF) + 1):
         if 0xD800 <= code <= 0xDFFF:
             continue
         ch = chr(code)
         plain = _plain(ch)
-        if plain == ch:
+        if plain == ch or 0xAC00 <= code <= 0xD7A3:  # Hangul syllables are letters, not letters with marks
             continue
         if len(plain) == 1:
             one.append((ch, plain))
-        elif not plain:
+        elif plain:
+            many.append((ch, plain))
+        else:
             none.append(ch)
     # translate() deletes characters that have no counterpart
-    return "".join(a for a, _ in one) + "".join(none), "".join(b for _, b in one)
+    return "".join(a for a, _ in one) + "".join(none), "".join(b for _, b in one), many
 
 
 def strip_accents(text: Column) -> Column:
-    """Drop diacritics; characters that decompose to several letters stay as they are."""
-    source, target = _accent_map()
-    return F.translate(text, source, target)
+    """Drop diacritics; ligatures and other signs become the letters they stand for.
 
-
-@F.pandas_udf(T.StringType())
-def strip_accents_full(texts: pd.Series) -> pd.Series:
-    """Complete decomposition, including ligatures; crosses to Python in Arrow batches."""
-    return texts.map(_plain, na_action="ignore")
+    Signs of several letters are rare: only texts that hold one go through their replacements.
+    """
+    source, target, many = _accent_map()
+    plain = F.translate(text, source, target)
+    several = F.from_json(F.lit(json.dumps([{"c": c, "p": p} for c, p in many], ensure_ascii=False)), "array<struct<c:string,p:string>>")
+    replaced = F.aggregate(several, plain, lambda a, x: F.replace(a, x["c"], x["p"]))
+    return F.when(plain.rlike("[" + "".join(c for c, _ in many) + "]"), replaced).otherwise(plain)
 
 
 # --- indicator features ---------------------------------------------------

@@ -55,24 +55,32 @@ def align_to_labels(proba: Column, classes: list, labels: list) -> Column:
     )
 
 
+# Cells of a dense matrix that goes to every worker, and of those gathered at once (8 bytes each).
+MATRIX_CELLS, GATHER_CELLS = 16 << 20, 4 << 20
+
+
 def project_rows(matrix: np.ndarray, finish=None):
     """Pandas UDF: (indices, values) of sparse rows times a dense matrix.
 
-    The matrix must be small enough for a broadcast; it is shipped once per worker
-    with the function, and each Arrow batch is one gather and one segmented sum.
+    The matrix, at most `MATRIX_CELLS`, is shipped once per worker with the function. Rows are
+    taken in groups whose gathered cells stay under `GATHER_CELLS`.
     """
     width = matrix.shape[1]
+    if matrix.size > MATRIX_CELLS:
+        raise ValueError(f"a matrix of {matrix.shape} is too large to be sent to every worker: reduce the features or the components")
 
     @F.pandas_udf("array<double>")
     def project(indices: pd.Series, values: pd.Series) -> pd.Series:
         sizes = np.array([len(i) for i in indices], dtype=np.int64)
         out = np.zeros((len(sizes), width))
         filled = np.flatnonzero(sizes)
-        if len(filled):
-            idx = np.concatenate([indices.iloc[r] for r in filled]).astype(np.int64)
-            val = np.concatenate([values.iloc[r] for r in filled])
-            starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
-            out[filled] = np.add.reduceat(matrix[idx] * val[:, None], starts, axis=0)
+        group = np.cumsum(sizes[filled]) * width // GATHER_CELLS
+        for g in np.unique(group):
+            rows = filled[group == g]
+            idx = np.concatenate([indices.iloc[r] for r in rows]).astype(np.int64)
+            val = np.concatenate([values.iloc[r] for r in rows])
+            starts = np.concatenate([[0], np.cumsum(sizes[rows])[:-1]])
+            out[rows] = np.add.reduceat(matrix[idx] * val[:, None], starts, axis=0)
         if finish is not None:
             out = finish(out)
         return pd.Series(list(out))

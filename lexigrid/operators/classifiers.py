@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from inspect import signature
 
 import numpy as np
 from pyspark.ml.classification import (
@@ -29,7 +30,17 @@ from lexigrid.operators.features import feature_variance
 from lexigrid.operators.profile import with_class_weight
 from lexigrid.session import keep, pack, run_parallel
 
-MAX_DEPTH = 30  # Spark ML trees stop here; deeper or unlimited settings are capped
+MAX_DEPTH = 30  # Spark ML trees stop here
+PLATT_FOLDS = 3
+
+
+def tree_depth(asked: int | None) -> int:
+    """Depth of a tree; unlimited means the library's limit, deeper is an error."""
+    if asked is None:
+        return MAX_DEPTH
+    if asked > MAX_DEPTH:
+        raise ValueError(f"trees of depth {asked} are not available, the limit is {MAX_DEPTH}")
+    return asked
 
 
 @dataclass
@@ -86,7 +97,7 @@ def _one_vs_rest(train: DataFrame, build, to_score: Callable[[Column, int], Colu
     def fit(name: str):
         return build().fit(indexed.withColumn("_y", (F.col("_y") == labels.index(name)).cast("double")))
 
-    models = run_parallel([lambda name=name: fit(name) for name in positives])
+    models = run_parallel(train.sparkSession, [lambda name=name: fit(name) for name in positives])
     indexed.unpersist()
 
     def score(rows: DataFrame) -> DataFrame:
@@ -152,7 +163,7 @@ def random_forest(train: DataFrame, n_estimators: int = 200, max_depth: int | No
     return _multiclass(
         train,
         lambda k: RandomForestClassifier(
-            labelCol="_y", numTrees=n_estimators, maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+            labelCol="_y", numTrees=n_estimators, maxDepth=tree_depth(max_depth),
             featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=512,
         ),
     )
@@ -175,7 +186,7 @@ def boosted_trees(train: DataFrame, n_estimators: int = 300, max_depth: int = 6,
     return _one_vs_rest(
         train,
         lambda: GBTClassifier(
-            labelCol="_y", maxIter=n_estimators, maxDepth=min(max_depth, MAX_DEPTH), stepSize=learning_rate,
+            labelCol="_y", maxIter=n_estimators, maxDepth=tree_depth(max_depth), stepSize=learning_rate,
             subsamplingRate=subsample, featureSubsetStrategy=str(colsample) if colsample < 1 else "all",
             seed=seed, maxMemoryInMB=512,
         ),
@@ -193,22 +204,34 @@ def linear_svc(train: DataFrame, C: float = 1.0, max_iter: int = 100, balanced:
     )
 
 
+def _margins(models: list, rows: DataFrame) -> DataFrame:
+    out = rows
+    for j, m in enumerate(models):
+        m.setRawPredictionCol(f"_raw{j}").setPredictionCol(f"_pred{j}")
+        out = m.transform(out)
+    return out.withColumn("_m", F.array(*[F.get(vector_to_array(f"_raw{j}"), F.lit(1)) for j in range(len(models))]))
+
+
 def _platt(train: DataFrame, build) -> Fitted:
-    """Margins per class, each mapped to a probability by a one-variable logistic fit."""
+    """Margins per class, each mapped to a probability by a one-variable logistic fit.
+
+    The curves are fitted on margins of rows that the margins' models have not seen: each fold
+    is scored by models of the other folds.
+    """
     base = _one_vs_rest(train, build, lambda margin, j: margin)
     labels, models = base.labels, base.parts
-
-    def margins(rows: DataFrame) -> DataFrame:
-        out = rows
-        for j, m in enumerate(models):
-            m.setRawPredictionCol(f"_raw{j}").setPredictionCol(f"_pred{j}")
-            out = m.transform(out)
-        return out.withColumn(
-            "_m", F.array(*[F.get(vector_to_array(f"_raw{j}"), F.lit(1)) for j in range(len(models))])
-        )
-
     positives = labels if len(labels) > 2 else labels[1:]
-    scored = keep(pack(margins(_indexed(train, labels)).select("label", "_m"), train.count()))
+    folded = train.withColumn("_fold", F.pmod(F.xxhash64(F.to_json(F.struct(F.unwrap_udt("features").alias("v")))), F.lit(PLATT_FOLDS)))
+    folded = keep(folded)
+    parts = []
+    for k in range(PLATT_FOLDS):
+        rest, held = folded.filter(F.col("_fold") != k).drop("_fold"), folded.filter(F.col("_fold") == k).drop("_fold")
+        if training_labels(rest) == labels:
+            parts.append(_margins(_one_vs_rest(rest, build, lambda margin, j: margin).parts, held).select("label", "_m"))
+    scored = parts[0] if parts else _margins(models, folded.drop("_fold")).select("label", "_m")
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
+    scored = keep(pack(scored, train.count()))
 
     def fit(j: int, name: str) -> tuple[float, float]:
         rows = scored.select(
@@ -218,13 +241,14 @@ def _platt(train: DataFrame, build) -> Fitted:
         model = LogisticRegression(labelCol="_y", maxIter=20).fit(rows)
         return float(model.coefficients[0]), float(model.intercept)
 
-    curve = run_parallel([lambda j=j, name=name: fit(j, name) for j, name in enumerate(positives)])
+    curve = run_parallel(train.sparkSession, [lambda j=j, name=name: fit(j, name) for j, name in enumerate(positives)])
     scored.unpersist()
+    folded.unpersist()
 
     def score(rows: DataFrame) -> DataFrame:
         p = [_sigmoid(F.get("_m", F.lit(j)) * a + b) for j, (a, b) in enumerate(curve)]
         array = F.array(F.lit(1.0) - p[0], p[0]) if len(p) == 1 else normalise_sum(F.array(*p))
-        return margins(rows).withColumn("_p", array)
+        return _margins(models, rows).withColumn("_p", array)
 
     return Fitted(labels, score, models)
 
@@ -271,33 +295,57 @@ def complement_nb(train: DataFrame, alpha: float = 1.0) -> Fitted:
 # --- registry -------------------------------------------------------------
 
 
-def _logreg(train: DataFrame, **p) -> Fitted:
-    shared = {"C": p.get("C", 1.0), "max_iter": p.get("max_iter", 100), "balanced": p.get("class_weight") == "balanced"}
-    penalty = p.get("penalty", "l2")
-    if p.get("multi_class") == "multinomial" or p.get("solver") in ("saga", "lbfgs"):
-        ratio = {"l1": 1.0, "elasticnet": p.get("l1_ratio", 0.5)}.get(penalty, 0.0)
-        return logistic_multinomial(train, l1_ratio=ratio, **shared)
+def _logreg(
+    train: DataFrame, C: float = 1.0, max_iter: int = 100, class_weight: str | None = None, penalty: str = "l2",
+    multi_class: str | None = None, solver: str | None = None, l1_ratio: float = 0.5, random_state: int | None = None,
+) -> Fitted:
+    """One-vs-rest, or softmax where it is asked for by name or by solver; the fit has no random part."""
+    shared = {"C": C, "max_iter": max_iter, "balanced": _balanced(class_weight)}
+    if multi_class == "multinomial" or (multi_class is None and solver in ("saga", "lbfgs")):
+        return logistic_multinomial(train, l1_ratio={"l1": 1.0, "elasticnet": l1_ratio}.get(penalty, 0.0), **shared)
     return logistic_ovr(train, penalty=penalty, **shared)
 
 
-def _hidden(value) -> tuple[int, ...]:
-    return tuple(value) if isinstance(value, (list, tuple)) else (int(value),)
+def _balanced(class_weight: str | None) -> bool:
+    if class_weight not in (None, "balanced"):
+        raise ValueError(f"class_weight {class_weight!r} is not available")
+    return class_weight == "balanced"
+
+
+def _rf(train: DataFrame, n_estimators: int = 200, max_depth: int | None = None, random_state: int = 42) -> Fitted:
+    return random_forest(train, n_estimators, max_depth, random_state)
+
+
+def _mlp(train: DataFrame, hidden_layer_sizes=(128, 64), max_iter: int = 200, random_state: int = 42) -> Fitted:
+    hidden = tuple(hidden_layer_sizes) if isinstance(hidden_layer_sizes, (list, tuple)) else (int(hidden_layer_sizes),)
+    return perceptron(train, hidden, max_iter, random_state)
+
+
+def _xgb(
+    train: DataFrame, n_estimators: int = 300, max_depth: int = 6, learning_rate: float = 0.1, subsample: float = 0.8,
+    colsample_bytree: float = 0.8, random_state: int = 42,
+) -> Fitted:
+    return boosted_trees(train, n_estimators, max_depth, learning_rate, subsample, colsample_bytree, random_state)
+
+
+def _svc(train: DataFrame, C: float = 1.0, gamma: str | float = "scale", n_components: int = 256, max_iter: int = 100, random_state: int = 42) -> Fitted:
+    return rbf_svc(train, C, gamma, n_components, random_state, max_iter)
+
+
+def _linear_svc(train: DataFrame, C: float = 1.0, max_iter: int = 100, class_weight: str | None = None) -> Fitted:
+    return linear_svc(train, C, max_iter, _balanced(class_weight))
 
 
 FAMILIES: dict[str, Callable[..., Fitted]] = {
-    "logreg": _logreg,
-    "rf": lambda t, **p: random_forest(t, p.get("n_estimators", 200), p.get("max_depth"), p.get("random_state", 42)),
-    "mlp": lambda t, **p: perceptron(t, _hidden(p.get("hidden_layer_sizes", (128, 64))), p.get("max_iter", 200), p.get("random_state", 42)),
-    "xgb": lambda t, **p: boosted_trees(
-        t, p.get("n_estimators", 300), p.get("max_depth", 6), p.get("learning_rate", 0.1),
-        p.get("subsample", 0.8), p.get("colsample_bytree", 0.8), p.get("random_state", 42)),
-    "svc": lambda t, **p: rbf_svc(t, p.get("C", 1.0), p.get("gamma", "scale"), p.get("n_components", 256)),
-    "linear_svc": lambda t, **p: linear_svc(t, p.get("C", 1.0), p.get("max_iter", 100), p.get("class_weight") == "balanced"),
-    "cnb": lambda t, **p: complement_nb(t, p.get("alpha", 1.0)),
+    "logreg": _logreg, "rf": _rf, "mlp": _mlp, "xgb": _xgb, "svc": _svc, "linear_svc": _linear_svc, "cnb": complement_nb,
 }
 
 
 def fit_classifier(kind: str, train: DataFrame, params: dict) -> Fitted:
+    """Fit a family by name; a parameter that the family does not have is an error, not ignored."""
     if kind not in FAMILIES:
         raise ValueError(f"unknown classifier {kind!r}")
+    known = set(signature(FAMILIES[kind]).parameters) - {"train"}
+    if unknown := sorted(set(params) - known):
+        raise ValueError(f"{kind} has no parameter {', '.join(unknown)}; it has {', '.join(sorted(known))}")
     return FAMILIES[kind](train, **params)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.vectors import argmax_index, scale
+from lexigrid.functions.vectors import argmax_index
 from lexigrid.operators.metrics import scores
 
 # Sums of probabilities are rounded before the arg-max, so that the order in which Spark adds
@@ -119,34 +120,38 @@ def model_matrix(preds: DataFrame, models: list[str]) -> DataFrame:
     )
 
 
-def _weighted_sum(probas: Column, weights: list[tuple[int, float]]) -> Column:
-    total = None
-    for i, w in weights:
-        part = scale(F.get(probas, F.lit(i)), F.lit(w))
-        total = part if total is None else F.zip_with(total, part, lambda a, b: a + b)
-    return total
-
-
 def trial_scores(
     matrix: DataFrame, models: list[str], selected: list[str], candidates: list[str],
     weights: dict[str, float], labels: list[str],
 ) -> dict[str, tuple[float, float]]:
     """``candidate -> (macro_f1, accuracy)`` of selected + candidate, in one Spark job.
 
-    The candidates are a column: each document emits one vote per candidate and the
-    confusion counts are grouped by candidate.
+    The selected models' weighted sum is made once per document; the candidates are rows that
+    are exploded against it, so the plan has one expression however many candidates there are.
     """
     at = {m: i for i, m in enumerate(models)}
-    trials = []
+    rows = []
     for c in candidates:
-        names = [*selected, c]
-        raw = [float(weights[n]) for n in names]
-        if all(w <= 0 for w in raw):
-            raw = [1.0] * len(raw)
-        total = sum(raw)
-        votes = _weighted_sum(F.col("probas"), [(at[n], w / total) for n, w in zip(names, raw, strict=True)])
-        trials.append(F.struct(F.lit(c).alias("model"), _vote_label(votes, labels).alias("y_pred")))
-    voted = matrix.select("y_true", F.inline(F.array(*trials)))
+        raw = [float(weights[n]) for n in (*selected, c)]
+        equal = all(w <= 0 for w in raw)
+        rows.append({"model": c, "at": at[c], "weight": 1.0 if equal else raw[-1], "total": float(len(raw)) if equal else sum(raw), "equal": equal})
+
+    def summed(pairs: list[tuple[int, float]]) -> Column:
+        """Weighted sum of the selected models' arrays; zeros if there is none."""
+        first = F.transform(F.get("probas", F.lit(at[candidates[0]])), lambda x: F.lit(0.0))
+        if not pairs:
+            return first
+        listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in pairs])
+        return F.aggregate(listed, first, lambda acc, p: F.zip_with(acc, F.get("probas", p["i"]), lambda a, b: a + b * p["w"]))
+
+    based = matrix.select(
+        "y_true", "probas", summed([(at[n], float(weights[n])) for n in selected]).alias("_raw"), summed([(at[n], 1.0) for n in selected]).alias("_one")
+    )
+    offered = F.from_json(F.lit(json.dumps(rows)), "array<struct<model:string,at:int,weight:double,total:double,equal:boolean>>")
+    each = based.select("*", F.explode(offered).alias("c"))
+    base = F.when(F.col("c.equal"), F.col("_one")).otherwise(F.col("_raw"))
+    votes = F.zip_with(base, F.get("probas", F.col("c.at")), lambda a, b: (a + b * F.col("c.weight")) / F.col("c.total"))
+    voted = each.select("y_true", F.col("c.model").alias("model"), _vote_label(votes, labels).alias("y_pred"))
     return {r["model"]: (r["macro_f1"], r["accuracy"]) for r in scores(voted, "model").collect()}
 
 

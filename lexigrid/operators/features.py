@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.text import FLAG_PATTERNS, analyze, regex_flags
 from lexigrid.functions.vectors import vector_cells
 from lexigrid.operators.vocab import fit_vocabulary
-from lexigrid.session import BROADCAST_ROWS, fits_broadcast
+from lexigrid.session import fits_broadcast
 
 # A vocabulary that rides in a model object on the driver may hold at most this many terms.
 DRIVER_TERMS = 1_000_000
@@ -25,6 +25,11 @@ DRIVER_TERMS = 1_000_000
 # --- sparse vectors: row-local, no shuffle --------------------------------
 
 
+def _bound(value: float, below: float) -> float | int:
+    """A share of the documents stays a float, a number of documents becomes an int."""
+    return value if value < below else int(value)
+
+
 class _AnalyzerParams(HasInputCol, HasOutputCol):
     analyzer = Param(Params._dummy(), "analyzer", "word, char, char_wb or space", TypeConverters.toString)
     ngramRange = Param(Params._dummy(), "ngramRange", "smallest and largest n", TypeConverters.toListInt)
@@ -63,8 +68,8 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
     transforming needs no shuffle, and a text without known terms becomes a zero vector.
     """
 
-    minDF = Param(Params._dummy(), "minDF", "least document frequency", TypeConverters.toFloat)
-    maxDF = Param(Params._dummy(), "maxDF", "largest share of documents", TypeConverters.toFloat)
+    minDF = Param(Params._dummy(), "minDF", "least document frequency: a share below 1, else a number of documents", TypeConverters.toFloat)
+    maxDF = Param(Params._dummy(), "maxDF", "largest document frequency: a share up to 1, else a number of documents", TypeConverters.toFloat)
     maxFeatures = Param(Params._dummy(), "maxFeatures", "size of the vocabulary, 0 = all", TypeConverters.toInt)
     weighting = Param(Params._dummy(), "weighting", "count or tfidf", TypeConverters.toString)
 
@@ -81,8 +86,8 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
         return fit_vocabulary(
             dataset,
             self._grams(),
-            int(self.getOrDefault("minDF")),
-            self.getOrDefault("maxDF"),
+            _bound(self.getOrDefault("minDF"), below=1.0),
+            _bound(self.getOrDefault("maxDF"), below=1.0 + 1e-12),
             self.getOrDefault("maxFeatures") or None,
         )
 
@@ -153,7 +158,7 @@ def lookup_terms(terms: DataFrame, vocab: DataFrame, hot: int = 10_000) -> DataF
     ``hot`` most frequent terms, which carry most rows, are broadcast, and only the rest
     is shuffled on the term, where no key is frequent any more.
     """
-    if fits_broadcast(vocab, BROADCAST_ROWS):
+    if fits_broadcast(vocab):
         return terms.join(F.broadcast(vocab), "term")
     frequent = vocab.orderBy(F.col("df").desc(), "term").limit(hot)
     payload = [c for c in vocab.columns if c != "term"]
@@ -175,11 +180,15 @@ def count_long(corpus: DataFrame, grams: Column, vocab: DataFrame, *keys: str) -
 
 
 def tfidf_long(corpus: DataFrame, grams: Column, vocab: DataFrame) -> DataFrame:
-    """``(doc_id, idx, term, value)`` of the L2-normalised TF-IDF cells."""
+    """``(doc_id, idx, term, value)`` of the L2-normalised TF-IDF cells.
+
+    A document without known terms keeps one row, without index and term and with value 0.
+    """
     cells = count_long(corpus, grams, vocab, "doc_id").withColumn("w", F.col("tf") * F.col("idf"))
     of_doc = Window.partitionBy("doc_id")
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(of_doc))
-    return cells.select("doc_id", "idx", "term", (F.col("w") / norm).alias("value"))
+    weighted = cells.select("doc_id", "idx", "term", (F.col("w") / norm).alias("value"))
+    return corpus.select("doc_id").join(weighted, "doc_id", "left").fillna({"value": 0.0})
 
 
 def stack_long(blocks: list[tuple[DataFrame, int]], *keys: str) -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from lexigrid.session import broadcast_if_small, keep
 
-HEX_DIGITS = 3  # 4096 buckets per class
+# Rows of a bucket that one task ranks, about; the number of buckets follows from it.
+BUCKET_ROWS = 50_000
 LABELS_ON_DRIVER = 100_000
 
 
@@ -23,8 +24,13 @@ def order_key(row_id: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
 
 
-def _bucket(key: Column) -> Column:
-    return F.conv(F.substring(key, 1, HEX_DIGITS), 16, 10).cast("int")
+def hex_digits(n_rows: int) -> int:
+    """Leading digits of the key that make a bucket: enough for buckets of BUCKET_ROWS, 7 at most."""
+    return min(7, max(1, math.ceil(math.log(max(n_rows / BUCKET_ROWS, 1), 16))))
+
+
+def _bucket(key: Column, digits: int) -> Column:
+    return F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
 
 
 def class_quotas(counts: dict, test_size: float) -> dict:
@@ -53,7 +59,7 @@ def holdout(
     spark = df.sparkSession
     group = F.coalesce(F.col(stratify).cast("string"), F.lit("\0")) if stratify else F.lit("")
     keyed = df.select(group.alias("_g"), order_key(F.col(row_id), seed).alias("_k"), F.col(row_id).alias("_id"))
-    keyed = keyed.withColumn("_b", _bucket(F.col("_k")))
+    keyed = keyed.withColumn("_b", _bucket(F.col("_k"), hex_digits(df.count())))
     hist = keep(keyed.groupBy("_g", "_b").agg(F.count("*").alias("_n")))
 
     totals = hist.groupBy("_g").agg(F.sum("_n").alias("n")).limit(LABELS_ON_DRIVER + 1).collect()
@@ -95,23 +101,23 @@ def _id_bucket(df: DataFrame, row_id: str, buckets: int) -> DataFrame:
     return placed.withColumn("_b", F.col("_b").cast("int")).drop("_d")
 
 
-def kfold(
-    df: DataFrame, k: int, seed: int | None = 42, label: str = "label", row_id: str = "doc_id",
-    id_buckets: int = 256,
-) -> DataFrame:
+def kfold(df: DataFrame, k: int, seed: int | None = 42, label: str = "label", row_id: str = "doc_id") -> DataFrame:
     """Add ``fold`` in 0..k-1; class and total sizes differ by at most one row per fold.
 
-    ``seed=None`` keeps the order of the ids.  Rows are ranked inside (class, bucket) and
-    the sizes of the buckets before are added, so no task holds a whole class.
+    ``seed=None`` keeps the order of the ids.  Only ids and labels are ranked, inside (class,
+    bucket), and the sizes of the buckets before are added, so no task holds a whole class and
+    no text takes part in the ranking; the folds are then joined to the rows. Rows of equal id
+    and label share a fold.
     """
     if k < 2:
         raise ValueError("k-fold cross-validation needs at least 2 folds")
-    group = F.coalesce(F.col(label).cast("string"), F.lit("\0"))
+    keyed = df.select(F.col(row_id).alias("_id"), F.coalesce(F.col(label).cast("string"), F.lit("\0")).alias("_g")).distinct()
+    n_rows = df.count()
     if seed is None:
-        placed = _id_bucket(df, row_id, id_buckets).withColumn("_g", group).withColumn("_k", F.col(row_id))
+        placed = _id_bucket(keyed, "_id", max(4, n_rows // BUCKET_ROWS)).withColumn("_k", F.col("_id"))
     else:
-        placed = df.withColumn("_g", group).withColumn("_k", order_key(F.col(row_id), seed))
-        placed = placed.withColumn("_b", _bucket(F.col("_k")))
+        placed = keyed.withColumn("_k", order_key(F.col("_id"), seed))
+        placed = placed.withColumn("_b", _bucket(F.col("_k"), hex_digits(n_rows)))
 
     hist = placed.groupBy("_g", "_b").agg(F.count("*").alias("_n"))
     in_class = F.sum("_n").over(Window.partitionBy("_g").orderBy("_b")) - F.col("_n")
@@ -119,16 +125,15 @@ def kfold(
     class_start = classes.select("_g", (F.sum("_m").over(Window.orderBy("_g")) - F.col("_m")).alias("_cs"))
     starts = (
         hist.select("_g", "_b", in_class.alias("_bs"))
-        .join(F.broadcast(class_start), "_g")
+        .join(broadcast_if_small(class_start), "_g")
         .select("_g", "_b", (F.col("_bs") + F.col("_cs")).alias("_start"))
     )
-    rank = F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_k", row_id)) - 1
-    return (
-        placed.withColumn("_r", rank)
-        .join(broadcast_if_small(starts), ["_g", "_b"])
-        .withColumn("fold", ((F.col("_start") + F.col("_r")) % k).cast("int"))
-        .drop("_g", "_b", "_k", "_r", "_start")
+    rank = F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_k", "_id")) - 1
+    folds = placed.withColumn("_r", rank).join(broadcast_if_small(starts), ["_g", "_b"]).select(
+        "_id", "_g", ((F.col("_start") + F.col("_r")) % k).cast("int").alias("fold")
     )
+    own = F.coalesce(F.col(label).cast("string"), F.lit("\0"))
+    return df.join(folds, (F.col(row_id) == F.col("_id")) & (own == F.col("_g"))).select(*[df[c] for c in df.columns], "fold")
 
 
 def first_rows(df: DataFrame, n: int, row_id: str = "doc_id") -> DataFrame:

@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from itertools import product
+import json
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.operators.naive_bayes import class_term_counts, predict_models
 
 
-def expand_params(params: dict) -> list[dict]:
-    """A list is an axis, a scalar a fixed value; the product follows the key order."""
-    axes = [v if isinstance(v, list) else [v] for v in params.values()]
-    return [dict(zip(params, values, strict=True)) for values in product(*axes)]
+def grid_points(spark: SparkSession, kind: str, axes: dict) -> DataFrame:
+    """``(point, kind, params)``: one row for each combination of the axes' values.
 
-
-def expand_grid(items: list[dict], kind: str = "class") -> list[tuple[str, str, dict]]:
-    """``(name, class, params)`` of every grid point of every item."""
-    out = []
-    for item in items:
-        template = item.get("name_template") or item.get("name") or item[kind]
-        for p in expand_params(item.get("params", {})):
-            try:
-                name = str(template).format(**p)
-            except (KeyError, IndexError):
-                name = f"{item[kind]}_{p}"
-            out.append((name, item[kind], p))
-    return out
+    An axis is a list of values; any other value is fixed. Values travel as JSON, so axes of
+    different types share a column. A point is named after its class and a hash of its
+    parameters, which is unique whatever the parameters are called.
+    """
+    columns = {name: v if isinstance(v, list) else [v] for name, v in axes.items()}
+    points = spark.range(1).select(F.lit(kind).alias("kind"))
+    for i, values in enumerate(columns.values()):
+        points = points.withColumn(f"_{i}", F.explode(F.array(*[F.lit(json.dumps(v)) for v in values])))
+    pairs = [F.concat(F.lit(f"{json.dumps(name)}: "), F.col(f"_{i}")) for i, name in enumerate(columns)]
+    params = F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+    named = points.select("kind", params.alias("params"))
+    return named.select(F.concat_ws("-", "kind", F.substring(F.sha2("params", 256), 1, 8)).alias("point"), "kind", "params")
 
 
 def cnb_grid(

@@ -7,7 +7,7 @@ pairs); they say what a result is, not how the Spark jobs compute it.
 from __future__ import annotations
 
 from lexigrid.functions.text import STOP_PT, WORD_CHARS
-from lexigrid.plans.queries import ALL_PATTERNS, CNB_MODELS, SPACES
+from lexigrid.plans.queries import ALL_PATTERNS, CNB_MODELS, FIRST_ROWS, QUICK_FITS, SPACES
 
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_PT) + "]"
@@ -139,10 +139,10 @@ def _digest(expr: str) -> str:
 # --- models on the quality label ------------------------------------------
 
 
-def _model_ctes() -> list[str]:
-    values = ", ".join(f"('{n}', '{a}', {s}, {x})" for n, a, s, x in CNB_MODELS)
+def _model_ctes(models=CNB_MODELS) -> list[str]:
+    values = ", ".join(f"('{n}', '{a}', {s}, {x})" for n, a, s, x in models)
     per = {}
-    for name, analyzer, size, _ in CNB_MODELS:
+    for _, analyzer, size, _ in models:
         per[analyzer] = max(size, per.get(analyzer, 0))
     limits = " ".join(f"WHEN '{a}' THEN {s}" for a, s in per.items())
     return [
@@ -214,6 +214,37 @@ NORMED = "normed AS MATERIALIZED (SELECT model, weight / sum(weight) OVER () AS
 RANKED = "ranked AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY coalesce(macro_f1, -1) DESC, coalesce(accuracy, -1) DESC, model) AS INTEGER) AS rank, * FROM avgs)"
 
 
+def _subsets() -> list[str]:
+    """Macro-F1 of the weighted vote of every subset of the five ranked models, and each model's overlap with every subset."""
+    report = " ; ".join(_report("sub_p", "mask"))
+    for name in ("conf", "sides", "rep", "avgs"):
+        report = report.replace(f"{name} AS", f"{name}_s AS").replace(f"FROM {name} ", f"FROM {name}_s ").replace(f"FROM {name})", f"FROM {name}_s)")
+    return [
+        "bits AS MATERIALIZED (SELECT model, rank, macro_f1, CAST(1 << (rank - 1) AS INTEGER) AS bit FROM ranked)",
+        "subs AS (SELECT CAST(unnest(range(1, 32)) AS INTEGER) AS mask)",
+        "sub_w AS MATERIALIZED (SELECT mask, model, macro_f1 / sum(macro_f1) OVER (PARTITION BY mask) AS w FROM subs JOIN bits ON mask & bit > 0)",
+        "sub_v AS MATERIALIZED (SELECT mask, p.doc_id, any_value(p.y_true) AS y_true, p.label, p.li, sum(w * p.p) AS v FROM sub_w JOIN proba p ON p.model = sub_w.model GROUP BY mask, p.doc_id, p.label, p.li)",
+        "sub_p AS MATERIALIZED (SELECT mask, doc_id, any_value(y_true) AS y_true, arg_max(label, (round(v, 12), -li)) AS y_pred FROM sub_v GROUP BY mask, doc_id)",
+        *report.split(" ; "),
+        "overlap AS MATERIALIZED (SELECT mask, c.model, CASE WHEN count(error_corr) = count(*) THEN avg(error_corr) END AS corr, avg(double_fault) AS fault "
+        "FROM subs JOIN bits c ON mask & c.bit = 0 JOIN bits s ON mask & s.bit > 0 JOIN pairs p ON p.a = least(c.model, s.model) AND p.b = greatest(c.model, s.model) GROUP BY mask, c.model)",
+    ]
+
+
+def _walk(accept: str) -> list[str]:
+    """Down the ranking: ``accept`` decides on b given (mask, best); the last row has the models in order of acceptance."""
+    return [
+        "walk(k, mask, best, names) AS (SELECT 0, 0, CAST(-1 AS DOUBLE), CAST([] AS VARCHAR[]) UNION ALL "
+        f"SELECT k + 1, CASE WHEN ok THEN mask | bit ELSE mask END, CASE WHEN ok THEN f1 ELSE best END, CASE WHEN ok THEN list_append(names, model) ELSE names END FROM ("
+        f"SELECT w.*, b.bit, b.model, a.macro_f1 AS f1, mask = 0 OR ({accept}) AS ok FROM walk w JOIN bits b ON b.rank = k + 1 "
+        "JOIN avgs_s a ON a.mask = (w.mask | b.bit) LEFT JOIN overlap o ON o.mask = w.mask AND o.model = b.model))",
+        "picked AS (SELECT CAST(unnest(range(1, len(names) + 1)) AS INTEGER) AS rank, unnest(names) AS model FROM walk WHERE k = 5)",
+    ]
+
+
+WEIGHTED = " SELECT picked.rank, picked.model, round(macro_f1 / sum(macro_f1) OVER (), 9) AS weight FROM picked JOIN bits ON bits.model = picked.model"
+
+
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
     flags = ", ".join(
@@ -229,7 +260,7 @@ def statements() -> dict[str, str]:
     q["class_balance"] = (
         "SELECT lang AS label, count(*) AS count, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 2) AS percent FROM documents GROUP BY lang"
     )
-    q["first_rows"] = "SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS n_chars FROM documents ORDER BY doc_id LIMIT 8000"
+    q["first_rows"] = "SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS n_chars FROM documents ORDER BY doc_id LIMIT " + str(FIRST_ROWS)
     q["ws_tokens"] = _with(_docs(), f"x AS MATERIALIZED (SELECT doc_id, {_spaces()} AS g FROM docs)") + f" SELECT doc_id, {_digest('g')} FROM x"
     q["word_ngrams"] = _with(_docs(), *_grams("word", 1, 3)) + f" SELECT doc_id, {_digest('g')} FROM grams"
     q["char_ngrams"] = _with(_docs(), *_grams("char", 3, 5)) + f" SELECT doc_id, {_digest('g')} FROM grams"
@@ -282,7 +313,7 @@ def statements() -> dict[str, str]:
     q["tfidf"] = _with(*base12, _tfidf()) + " SELECT doc_id, idx, round(value, 9) AS value FROM cells"
     q["tfidf_unbounded"] = (
         _with(_docs(), *_grams("word", 1, 1), TF, *_vocab(), _tfidf())
-        + " SELECT doc_id, count(*) AS n_terms, CAST(sum(idx) AS BIGINT) AS idx_sum, round(sum(value), 6) AS value_sum FROM cells GROUP BY doc_id"
+        + " SELECT d.doc_id, count(idx) AS n_terms, CAST(coalesce(sum(idx), 0) AS BIGINT) AS idx_sum, round(coalesce(sum(value), 0), 6) AS value_sum FROM docs d LEFT JOIN cells c ON c.doc_id = d.doc_id GROUP BY d.doc_id"
     )
     stacked = [
         _docs(),
@@ -330,8 +361,8 @@ def statements() -> dict[str, str]:
             _docs(),
             f"toks AS MATERIALIZED (SELECT doc_id, label, {_spaces()} AS g FROM docs)",
             TF.replace("FROM grams", "FROM toks"),
-            *_vocab(1, None, 200),
-            "vec AS (SELECT v.term, e.embedding FROM vocab v JOIN embeddings e ON e.vec_id = v.idx)",
+            *_vocab(),
+            "vec AS (SELECT v.term, e.embedding FROM vocab v JOIN embeddings e ON e.vec_id = v.idx % (SELECT count(*) FROM embeddings))",
             "dims AS (SELECT term, unnest(range(1, 65)) AS d, unnest(embedding) AS x FROM vec)",
             "m AS (SELECT tf.doc_id, d, sum(tf.tf * CAST(x AS DOUBLE)) / sum(tf.tf) AS x FROM tf JOIN dims ON tf.term = dims.term GROUP BY ALL)",
             "known AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_known FROM tf JOIN vec ON tf.term = vec.term GROUP BY doc_id)",
@@ -461,4 +492,86 @@ def statements() -> dict[str, str]:
     q["pending_scores"] = (
         _with(*m) + " SELECT m.model, count(*) AS n_pending, CAST(sum(d.doc_id) AS BIGINT) AS id_sum FROM docs d CROSS JOIN models m LEFT JOIN preds p ON p.doc_id = d.doc_id AND p.model = m.model WHERE p.doc_id IS NULL GROUP BY m.model"
     )
+    q["cnb_mllib"] = q["cnb_predict"]
+
+    families = ", ".join(f"('{f}')" for f in QUICK_FITS)
+    q["family_facts"] = (
+        _with(_docs(), *_holdout())
+        + " SELECT family, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum, true AS sums_to_one, true AS is_largest, true AS beats_majority "
+        f"FROM parts CROSS JOIN (VALUES {families}) AS f(family) WHERE part = 'test' GROUP BY family"
+    )
+
+    # selections and studies of naive Bayes models
+    def recursive(*ctes: str) -> str:
+        return "WITH RECURSIVE " + ",\n".join(ctes)
+
+    subsets = [*m, *rep, RANKED, *PAIRS, *_subsets()]
+    near = "NOT (coalesce(o.corr > {c}, false) OR coalesce(o.fault > {f}, false))"
+    q["select_threshold"] = (
+        recursive(*subsets, *_walk(near.format(c=0.6, f=0.12)))
+        + " SELECT rank, model, round(1.0::DOUBLE / count(*) OVER (), 9) AS weight FROM picked"
+    )
+    q["select_improve"] = recursive(*subsets, *_walk(near.format(c=1.0, f=1.0) + " AND a.macro_f1 > best")) + WEIGHTED
+    forward = [
+        "steps(k, mask, best, names) AS (SELECT 1, bit, macro_f1, [model] FROM bits WHERE rank = 1 UNION ALL "
+        "SELECT k + 1, mask | bit, f1, list_append(names, model) FROM (SELECT s.*, b.bit, b.model, a.macro_f1 AS f1, "
+        "row_number() OVER (ORDER BY a.macro_f1 DESC, b.rank) AS place FROM steps s JOIN bits b ON s.mask & b.bit = 0 "
+        "JOIN overlap o ON o.mask = s.mask AND o.model = b.model AND o.corr <= 1.0 JOIN avgs_s a ON a.mask = (s.mask | b.bit)) WHERE place = 1 AND f1 > best AND k < 5)",
+        "picked AS (SELECT CAST(unnest(range(1, len(names) + 1)) AS INTEGER) AS rank, unnest(names) AS model FROM steps WHERE k = (SELECT max(k) FROM steps))",
+    ]
+    q["select_forward"] = recursive(*subsets, *forward) + WEIGHTED
+
+    nb = [(f"{n}+{c}", a, s, x) for n, a, s, _ in CNB_MODELS for c, x in (("a1", 1.0), ("a05", 0.5))]
+    q["holdout_study"] = (
+        _with(*_model_ctes(nb), *rep)
+        + f" SELECT model, split_part(model, '+', 1) AS vectorizer, split_part(model, '+', 2) AS classifier, 'ok' AS status, {AVG_COLS} FROM avgs"
+    )
+    lang = [_docs() if c.startswith("docs AS") else c for c in _model_ctes([x for x in nb if x[0] in ("w20+a1", "w100+a1")])]
+    q["holdout_study_lang"] = _with(*lang, *rep) + f" SELECT model, 'ok' AS status, {AVG_COLS} FROM avgs"
+    three = [x for x in nb if x[0] in ("w20+a1", "w100+a1", "c100+a1")]
+    values = ", ".join(f"('{n}#{f}', '{a}#{f}', {s}, {x})" for n, a, s, x in three for f in range(3))
+    grams = {"word": _words(), "char": _windows(_chars(), 3, "")}
+    tf = " UNION ALL ".join(
+        f"SELECT '{a}#' || f AS kind, doc_id, label, CASE WHEN fold = f THEN 'test' ELSE 'train' END AS part, unnest({g}) AS term FROM folded, (SELECT unnest(range(3)) AS f)" for a, g in grams.items()
+    )
+    q["cv_study"] = (
+        _with(
+            _docs("quality"),
+            _kfold(3, "md5('42:' || doc_id), doc_id", "docs", "label"),
+            "parts AS MATERIALIZED (SELECT *, 'test' AS part FROM docs UNION ALL SELECT *, 'train' FROM docs)",
+            f"models(model, kind, size, alpha) AS (VALUES {values})",
+            f"tf AS MATERIALIZED (SELECT kind, doc_id, label, part, term, count(*) AS tf FROM ({tf}) GROUP BY ALL)",
+            *_cnb_models("models", "100"),
+            "own_fold AS (SELECT split_part(model, '#', 1) AS model, fold, y_true, y_pred FROM preds JOIN folded ON folded.doc_id = preds.doc_id AND split_part(model, '#', 2) = fold::VARCHAR)",
+            *_report("own_fold", "model, fold"),
+        )
+        + " SELECT model, round(avg(accuracy), 9) AS accuracy_mean, round(stddev_samp(accuracy), 9) AS accuracy_std, round(avg(macro_f1), 9) AS macro_f1_mean, round(stddev_samp(macro_f1), 9) AS macro_f1_std FROM avgs GROUP BY model"
+    )
+    voted = [
+        *_model_ctes([x for x in nb if x[0].endswith("+a1")]), *rep, RANKED,
+        "v AS MATERIALIZED (SELECT p.doc_id, any_value(p.y_true) AS y_true, p.label, p.li, sum(p.p / 3.0) AS v FROM proba p JOIN ranked r ON r.model = p.model AND r.rank <= 3 GROUP BY p.doc_id, p.label, p.li)",
+        "best AS MATERIALIZED (SELECT doc_id, any_value(y_true) AS y_true, arg_max(label, (round(v, 12), -li)) AS y_pred, round(max(v), 6) AS p_best FROM v GROUP BY doc_id)",
+    ]
+    q["ensemble_end_to_end"] = _with(*voted) + " SELECT doc_id, y_true, y_pred, p_best FROM best"
+    q["ensemble_summary"] = (
+        _with(*voted)
+        + " SELECT model AS name, round(accuracy, 9) AS accuracy, (SELECT round(avg((y_true = y_pred)::INT), 9) FROM best) AS ensemble_accuracy, "
+        "(SELECT count(*) FROM parts WHERE part = 'train') AS n_train, (SELECT count(*) FROM parts WHERE part = 'test') AS n_test FROM ranked WHERE rank <= 3"
+    )
+
+    # round trips give back what went in
+    q["delimited_round_trip"] = "SELECT doc_id, md5(coalesce(text, '')) AS digest, lang AS label FROM documents"
+    q["results_round_trip"] = q["macro_f1"]
+    q["prediction_table_round_trip"] = (
+        _with(*m) + " SELECT p.doc_id, length(d.text) AS n_chars, y_true AS true_label, y_pred AS pred_ensemble FROM preds p JOIN docs d ON d.doc_id = p.doc_id WHERE model = 'w100'"
+    )
+    q["vector_export_round_trip"] = (
+        _with(_docs(), *_grams("word", 1, 1), TF, *_vocab(2, None, 300), _tfidf())
+        + " SELECT d.doc_id, d.label, (SELECT count(*) FROM vocab) AS width, CASE WHEN count(idx) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS squared_norm "
+        "FROM docs d LEFT JOIN cells c ON c.doc_id = d.doc_id GROUP BY d.doc_id, d.label"
+    )
+    q["vocab_shares"] = _with(
+        _docs(), *_grams("word", 1, 1), TF,
+        *[c.replace("count(*) >= 1)", "count(*) >= 0.01 * (SELECT count(*) FROM docs) AND count(*) <= 100)") for c in _vocab()],
+    ) + " SELECT term, idx, df, cf FROM vocab"
     return q

@@ -35,8 +35,8 @@ from lexigrid.operators.naive_bayes import (
 from lexigrid.plans import study
 from lexigrid.session import keep, spread
 from lexigrid.sources.cache import StudyStore
-from lexigrid.sources.corpus import documents, pick, table
-from lexigrid.sources.sinks import correlation_matrix
+from lexigrid.sources.corpus import as_corpus, documents, pick, read_delimited, table
+from lexigrid.sources.sinks import correlation_matrix, export_vectors, read_selection, write_predictions, write_results
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,6 +51,9 @@ ALL_PATTERNS = {**tx.FLAG_PATTERNS, **DATA_PATTERNS}
 
 WORDS_12 = {"analyzer": "word", "ngramRange": [1, 2], "minDF": 2.0, "maxDF": 0.9, "maxFeatures": 1000}
 
+# rows of a quick study, below the size of every test table
+FIRST_ROWS = 150
+
 # name, analyzer, vocabulary size, alpha: the models behind the diversity and voting queries
 CNB_MODELS = (
     ("w20", "word", 20, 1.0),
@@ -107,7 +110,7 @@ def class_balance(spark, sf):
 @query
 def first_rows(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", F.length("text").alias("n_chars"))
-    return split.first_rows(docs, 8000)
+    return split.first_rows(docs, FIRST_ROWS)
 
 
 @query
@@ -229,8 +232,8 @@ def tfidf_unbounded(spark, sf):
     v = vocab.fit_vocabulary(corpus, grams)
     cells = tfidf_long(corpus, grams, v)
     return cells.groupBy("doc_id").agg(
-        F.count("*").alias("n_terms"),
-        F.sum("idx").alias("idx_sum"),
+        F.count("idx").alias("n_terms"),
+        F.coalesce(F.sum("idx"), F.lit(0)).alias("idx_sum"),
         F.round(F.sum("value"), 6).alias("value_sum"),
     )
 
@@ -288,11 +291,12 @@ def rbf_gamma_scale(spark, sf):
 
 @query
 def doc_mean_vector(spark, sf):
-    """Mean vector of the known words; the word vectors are the first words of the
-    vocabulary paired with the embedding table by position."""
+    """Mean vector of the known words: word i of the whole vocabulary has the i-th vector of the
+    embedding table, which starts over after its last one."""
     corpus = documents(spark, sf)
-    words = vocab.stored_vocabulary(corpus, tx.ws_tokens(F.col("text")), max_features=200)
-    vectors = words.join(table(spark, sf, "embeddings"), F.col("idx") == F.col("vec_id")).select(
+    given = table(spark, sf, "embeddings")
+    words = vocab.stored_vocabulary(corpus, tx.ws_tokens(F.col("text"))).withColumn("at", F.col("idx") % given.count())
+    vectors = words.join(given, F.col("at") == F.col("vec_id")).select(
         F.col("term").alias("word"), array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("vector")
     )
     means = embed.mean_of_known(corpus, tx.ws_tokens(F.col("text")), vectors, 64)
@@ -697,6 +701,40 @@ def rff_svc(spark, sf):
     return _trained(spark, sf, "svc", {"C": 1.0, "n_components": 128, "max_iter": 30})
 
 
+# Settings at which every family is fast.
+QUICK_FITS = {
+    "logreg": {"C": 10.0, "max_iter": 20, "solver": "liblinear"},
+    "rf": {"n_estimators": 10, "max_depth": 6},
+    "mlp": {"hidden_layer_sizes": [16], "max_iter": 30},
+    "xgb": {"n_estimators": 3, "max_depth": 3},
+    "svc": {"n_components": 64, "max_iter": 10},
+    "linear_svc": {"max_iter": 10, "class_weight": "balanced"},
+    "cnb": {"alpha": 1.0},
+}
+
+
+@query
+def family_facts(spark, sf):
+    """What must hold for every family: a row per test document, probabilities that sum to one,
+    the label of the largest one, and more documents right than the majority class has."""
+    train, test = _tfidf_split(spark, sf, size=150)
+    out = None
+    for kind, params in QUICK_FITS.items():
+        fitted = fit_classifier(kind, train, params)
+        names = F.array(*[F.lit(x) for x in fitted.labels])
+        facts = fitted.predict(test).select(
+            F.lit(kind).alias("family"), "doc_id", "label", (F.col("label") == F.col("y_pred")).alias("right"),
+            (F.abs(F.aggregate("proba", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"),
+            (F.get("proba", (F.array_position(names, F.col("y_pred")) - 1).cast("int")) == F.array_max("proba")).alias("is_largest"),
+        )
+        out = facts if out is None else out.unionByName(facts)
+    largest = test.groupBy("label").count().agg(F.max("count")).first()[0]  # one row a class
+    return out.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"), F.bool_and("sums_to_one").alias("sums_to_one"),
+        F.bool_and("is_largest").alias("is_largest"), (F.count_if("right") > largest).alias("beats_majority"),
+    )
+
+
 @query
 def cnb_mllib(spark, sf):
     """Complement naive Bayes through Spark ML; equal to ``cnb_predict``."""
@@ -709,23 +747,10 @@ def cnb_mllib(spark, sf):
 @query
 def w2v_docvec(spark, sf):
     corpus = documents(spark, sf)
-    vectors = embed.fit_word_vectors(corpus, vector_size=50, window=5, min_count=2, epochs=1)
-    return vectors.transform(corpus).select("doc_id", vector_to_array("features").alias("vector"))
-
-
-@query
-def subword_embed(spark, sf):
-    corpus = documents(spark, sf)
-    vectors = embed.fit_subword_vectors(corpus, vector_size=25, min_count=5, epochs=1, buckets=5000)
+    vectors = embed.fit_word_vectors(corpus, vector_size=100, window=5, min_count=2, epochs=5)
     return vectors.transform(corpus).select("doc_id", vector_to_array("features").alias("vector"))
 
 
-@query
-def encoder_embed(spark, sf):
-    out = embed.encode_texts(documents(spark, sf), embed.hash_token_encoder(16, max_length=None))
-    return out.select("doc_id", vector_to_array("features").alias("vector"))
-
-
 @query
 def grid_search(spark, sf):
     """Elastic-net grid on exact folds, refitted and scored on the holdout."""
@@ -747,43 +772,49 @@ def grid_search(spark, sf):
     return points.withColumn("holdout_macro_f1", F.lit(holdout["macro_f1"]))
 
 
-SMALL_VECTORIZERS = [
-    ("tfidf_w", "tfidf", {"ngram_range": [1, 2], "min_df": 2, "max_features": 300}),
-    ("tfidf_c", "tfidf", {"analyzer": "char", "ngram_range": [3, 3], "min_df": 2, "max_features": 300}),
-]
-SMALL_CLASSIFIERS = [
-    ("lr", "logreg", {"C": 10.0, "max_iter": 30}),
-    ("rf", "rf", {"n_estimators": 10, "max_depth": 6}),
+# The grid of the studies: count vectors and complement naive Bayes, which has a closed form.
+NB_VECTORIZERS = [
+    (name, "count", {"analyzer": analyzer, "ngram_range": [1, 1] if analyzer == "word" else [3, 3], "min_df": 2, "max_features": size})
+    for name, analyzer, size, _ in CNB_MODELS
 ]
+NB_CLASSIFIERS = [("a1", "cnb", {"alpha": 1.0}), ("a05", "cnb", {"alpha": 0.5})]
+# limits that let several of these models vote
+LOOSE = {"max_corr": 1.0, "max_models": 5}
 
 
 def _specs(items):
     return [study.Component(*x) for x in items]
 
 
-def _small_study(spark, sf, store=None):
-    return study.holdout_study(
-        documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS), _specs(SMALL_CLASSIFIERS), store=store
-    )
+def _nb_study(spark, sf, store=None, label="quality", vectorizers=NB_VECTORIZERS, classifiers=NB_CLASSIFIERS[:1]):
+    return study.holdout_study(documents(spark, sf, label), _specs(vectorizers), _specs(classifiers), store=store)
+
+
+def _metrics_of(df, *keys):
+    names = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_precision", "weighted_recall", "weighted_f1"]
+    return _rounded(df.select(*keys, *names, "support"), ())
 
 
 @query
 def holdout_study(spark, sf):
-    return _small_study(spark, sf).results().drop("vectorizer_fit_time", "classifier_fit_time")
+    return _metrics_of(_nb_study(spark, sf, classifiers=NB_CLASSIFIERS).results(), "model", "vectorizer", "classifier", "status")
+
+
+@query
+def holdout_study_lang(spark, sf):
+    """The same with more than two classes."""
+    return _metrics_of(_nb_study(spark, sf, label="lang", vectorizers=NB_VECTORIZERS[:2]).results(), "model", "status")
 
 
 @query
 def cv_study(spark, sf):
-    out = study.cv_study(
-        documents(spark, sf, "quality"), _specs(SMALL_VECTORIZERS[:1]),
-        _specs([("cnb", "cnb", {"alpha": 1.0}), ("lr", "logreg", {"max_iter": 20})]), k=3,
-    )
-    return study.cv_summary(out)
+    out = study.cv_study(documents(spark, sf, "quality"), _specs(NB_VECTORIZERS[:2] + NB_VECTORIZERS[3:4]), _specs(NB_CLASSIFIERS[:1]), k=3)
+    return _rounded(study.cv_summary(out).select("model", "accuracy_mean", "accuracy_std", "macro_f1_mean", "macro_f1_std"), ())
 
 
 def _selected(spark, preds, strategy, **limits) -> DataFrame:
     chosen, weights = study.choose_models(preds, QUALITY_LABELS, strategy, **limits)
-    return spark.createDataFrame([(i + 1, n, weights[n]) for i, n in enumerate(chosen)], "rank int, model string, weight double")
+    return _rounded(spark.createDataFrame([(i + 1, n, weights[n]) for i, n in enumerate(chosen)], "rank int, model string, weight double"), ())
 
 
 @query
@@ -793,23 +824,82 @@ def select_threshold(spark, sf):
 
 @query
 def select_forward(spark, sf):
-    return _selected(spark, keep_predictions(spark, sf), "forward")
+    return _selected(spark, keep_predictions(spark, sf), "forward", **LOOSE)
 
 
 @query
 def select_improve(spark, sf):
-    return _selected(spark, keep_predictions(spark, sf), "improve")
+    return _selected(spark, keep_predictions(spark, sf), "improve", max_double_fault=1.0, **LOOSE)
 
 
-@query
-def ensemble_end_to_end(spark, sf):
-    """Study, selection and weighted vote over the holdout; the members come from the store."""
+def _end_to_end(spark, sf):
+    """Study, selection written and read again, and the members' weighted vote; all come from the store."""
     corpus = documents(spark, sf, "quality")
     store = StudyStore(spark)
-    grid = _small_study(spark, sf, store)
-    chosen, weights = study.choose_models(grid.predictions, grid.labels, "improve")
-    vec = {v[0]: study.Component(*v) for v in SMALL_VECTORIZERS}
-    clf = {c[0]: study.Component(*c) for c in SMALL_CLASSIFIERS}
-    members = [(n, vec[n.split("+")[0]], clf[n.split("+")[1]], weights[n]) for n in chosen]
-    votes, _ = study.run_ensemble(corpus, members, store=store)
-    return votes.select("doc_id", "y_true", "y_pred", F.array_max("proba").alias("p_best"))
+    grid = _nb_study(spark, sf, store)
+    chosen, weights = study.choose_models(grid.predictions, grid.labels, "threshold", max_corr=1.0, max_double_fault=1.0, max_models=3)
+    specs = {f"{v.name}+{c.name}": (v, c) for v in _specs(NB_VECTORIZERS) for c in _specs(NB_CLASSIFIERS)}
+    table_ = study.selection_table(spark, chosen, weights, specs, study.ranked_models(metrics.scores(grid.predictions, "model")))
+    study.write_selection(table_, f"{store.root}/selection")
+    return study.run_ensemble(corpus, study.ensemble_members(read_selection(spark, f"{store.root}/selection")), store=store)
+
+
+@query
+def ensemble_end_to_end(spark, sf):
+    votes, _ = _end_to_end(spark, sf)
+    return votes.select("doc_id", "y_true", "y_pred", F.round(F.array_max("proba"), 6).alias("p_best"))
+
+
+@query
+def ensemble_summary(spark, sf):
+    """The summary document: each member under its name, the vote, and the split's sizes."""
+    _, summary = _end_to_end(spark, sf)
+    return _rounded(summary.select(F.inline("models"), "ensemble_accuracy", "n_train", "n_test"), ())
+
+
+# --- round trips through the writers and readers ---------------------------
+
+
+@query
+def delimited_round_trip(spark, sf):
+    """The corpus written as delimited text with quoted, multi-line fields, and read again."""
+    path = f"{StudyStore(spark).root}/corpus"
+    docs = table(spark, sf, "documents").select("text", "lang", F.col("doc_id").alias("id"))
+    docs.write.csv(path, header=True, sep=";", quote='"', escape='"', encoding="UTF-8", quoteAll=True)
+    back = as_corpus(read_delimited(spark, path, "text string, lang string, id long", encoding="UTF-8"), 0, 1, 2)
+    return back.select("doc_id", F.md5("text").alias("digest"), "label")
+
+
+@query
+def results_round_trip(spark, sf):
+    path = f"{StudyStore(spark).root}/results"
+    write_results(macro_f1(spark, sf), path)
+    return spark.read.parquet(f"{path}/parquet")
+
+
+@query
+def prediction_table_round_trip(spark, sf):
+    preds = keep_predictions(spark, sf).filter("model = 'w100'")
+    path = f"{StudyStore(spark).root}/votes"
+    write_predictions(preds.select("doc_id", "y_true", "y_pred"), documents(spark, sf, "quality"), path)
+    back = spark.read.csv(path, schema="doc_id long, text string, true_label string, pred_ensemble string", header=True, multiLine=True, escape='"')
+    return back.select("doc_id", F.length("text").cast("long").alias("n_chars"), "true_label", "pred_ensemble")
+
+
+@query
+def vector_export_round_trip(spark, sf):
+    """Exported document vectors: length and squared norm of each."""
+    docs = documents(spark, sf)
+    model = NgramVectorizer(analyzer="word", minDF=2.0, maxFeatures=300).fit(docs)
+    path = f"{StudyStore(spark).root}/vectors"
+    export_vectors(featurize(model, docs, "doc_id", "label"), path)
+    back = spark.read.parquet(path)
+    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    return back.select("doc_id", "label", F.size("vector").cast("long").alias("width"), F.round(norm, 6).alias("squared_norm"))
+
+
+@query
+def vocab_shares(spark, sf):
+    """Document-frequency bounds as a share from below and a number from above."""
+    v = NgramVectorizer(analyzer="word", minDF=0.01, maxDF=100.0).vocabulary(documents(spark, sf))
+    return v.select("term", "idx", "df", "cf")

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import json
 import time
+import traceback
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrid.operators import diversity, ensemble, metrics, profile, split
 from lexigrid.operators.classifiers import fit_classifier
-from lexigrid.operators.embed import encode_texts, fit_subword_vectors, fit_word_vectors, hash_token_encoder
+from lexigrid.operators.embed import encode_texts, fit_word_vectors
 from lexigrid.operators.features import NgramVectorizer
 from lexigrid.session import keep, pack, run_parallel
 from lexigrid.sources.cache import StudyStore, params_hash
@@ -37,7 +39,6 @@ class Component:
 VECTORIZER_KINDS = {
     "TfidfVectorizerWrapper": "tfidf",
     "Word2VecVectorizer": "word2vec",
-    "FastTextVectorizer": "fasttext",
     "BertVectorizer": "encoder",
 }
 CLASSIFIER_KINDS = {
@@ -54,55 +55,82 @@ DEFAULT_PAIR = (
 )
 
 
+# Parameters of each vectorizer class; others are an error, so no two grid points are equal by oversight.
+VECTORIZER_PARAMS = {
+    "tfidf": {"analyzer", "ngram_range", "min_df", "max_df", "max_features", "strip_accents", "stop_words"},
+    "word2vec": {"vector_size", "window", "min_count", "epochs", "seed"},
+    "encoder": {"make_encoder", "name", "batch_size"},
+}
+VECTORIZER_PARAMS["count"] = VECTORIZER_PARAMS["tfidf"]
+
+
+def _stop_words(asked: list[str] | str | None) -> list[str]:
+    """The given words, or the full list of a language by its name."""
+    return StopWordsRemover.loadDefaultStopWords(asked) if isinstance(asked, str) else list(asked or ())
+
+
 def fit_vectorizer(spec: Component, train: DataFrame):
     """Fit on the given rows only; the result maps a corpus to ``features``."""
     kind = VECTORIZER_KINDS.get(spec.kind, spec.kind)
+    if kind not in VECTORIZER_PARAMS:
+        raise ValueError(f"unknown vectorizer {spec.kind!r}")
     p = spec.params
+    if unknown := sorted(set(p) - VECTORIZER_PARAMS[kind]):
+        raise ValueError(f"{spec.kind} has no parameter {', '.join(unknown)}")
     if kind in ("tfidf", "count"):
-        model = NgramVectorizer(
+        return NgramVectorizer(
             analyzer=p.get("analyzer", "word"), ngramRange=list(p.get("ngram_range", (1, 1))),
             minDF=float(p.get("min_df", 1)), maxDF=float(p.get("max_df", 1.0)),
             maxFeatures=int(p.get("max_features") or 0), stripAccents=bool(p.get("strip_accents")),
-            stopWords=list(p.get("stop_words") or ()), weighting=kind,
-        ).fit(train)
-        return lambda df: model.transform(df)
+            stopWords=_stop_words(p.get("stop_words")), weighting=kind,
+        ).fit(train).transform
     if kind == "word2vec":
         return fit_word_vectors(
             train, p.get("vector_size", 100), p.get("window", 5), p.get("min_count", 1), p.get("epochs", 5), p.get("seed", 42)
         ).transform
-    if kind == "fasttext":
-        return fit_subword_vectors(
-            train, p.get("vector_size", 100), p.get("window", 5), p.get("min_count", 5), p.get("epochs", 5),
-            buckets=p.get("bucket", 50_000), seed=p.get("seed", 42),
-        ).transform
-    if kind == "encoder":
-        make = p.get("make_encoder") or hash_token_encoder(max_length=p.get("max_length", 256))
-        return lambda df: encode_texts(df, make, p.get("batch_size", 16))
-    raise ValueError(f"unknown vectorizer {spec.kind!r}")
+    if "make_encoder" not in p or "name" not in p:
+        raise ValueError("an encoder needs make_encoder, and a name (with version) that keys its stored features")
+    return lambda df: encode_texts(df, p["make_encoder"], p.get("batch_size", 16))
+
+
+class FailedCombination(RuntimeError):
+    """A combination of the grid could not be fitted; the cause is attached."""
 
 
 def _run_combos(
     train: DataFrame, test: DataFrame, split_id: str, vec: Component, classifiers: list[Component],
-    labels: list[str], store: StudyStore, scope: DataFrame, parallelism: int, suffix: dict,
+    labels: list[str], store: StudyStore, scope: DataFrame, parallelism: int, suffix: dict, on_error: str = "raise",
+    names: dict[str, str] | None = None,
 ) -> list[dict]:
-    """All classifiers on one vectorizer; stored combinations are not trained again."""
+    """All classifiers on one vectorizer; stored combinations are not trained again.
+
+    A combination that fails ends the study, or is recorded with its error's type, message and
+    traceback if ``on_error`` is ``record``. ``names`` gives models other names than
+    ``vectorizer+classifier``.
+    """
     vec_key = params_hash(vec.kind, vec.params, suffix)
-    keys = {c.name: params_hash(vec.kind, vec.params, c.kind, c.params, labels, suffix, f"{vec.name}+{c.name}") for c in classifiers}
+    full = {c.name: (names or {}).get(c.name) or f"{vec.name}+{c.name}" for c in classifiers}
+    keys = {c.name: params_hash(vec.kind, vec.params, c.kind, c.params, labels, suffix, full[c.name]) for c in classifiers}
     todo = [c for c in classifiers if not store.has(store.predictions_path(split_id, keys[c.name]))]
-    vec_time = None
+    times = {"vectorizer_fit_time": None, "train_transform_time": None, "test_transform_time": None}
     if todo:
         cached = all(store.has(f"features/split_id={split_id}/vectorizer={vec_key}/part={p}") for p in ("train", "test"))
         started = time.perf_counter()
         transform = None if cached else fit_vectorizer(vec, scope)
-        vec_time = None if cached else time.perf_counter() - started
+        fitted = time.perf_counter()
         cols = ("doc_id", "label", "features")
         x_train = store.features(split_id, vec.name, vec_key, "train", lambda: transform(train).select(*cols))
+        trained = time.perf_counter()
         x_test = store.features(split_id, vec.name, vec_key, "test", lambda: transform(test).select(*cols))
+        if not cached:
+            times = {"vectorizer_fit_time": fitted - started, "train_transform_time": trained - fitted, "test_transform_time": time.perf_counter() - trained}
 
     def run(c: Component) -> dict:
-        name = f"{vec.name}+{c.name}"
-        row = {"model": name, "vectorizer": vec.name, "classifier": c.name, "key": keys[c.name],
-               "status": "ok", "vectorizer_fit_time": vec_time, "classifier_fit_time": None}
+        row = {
+            "model": full[c.name], "vectorizer": vec.name, "classifier": c.name, "key": keys[c.name], "status": "ok", "error": None,
+            "vectorizer_params": _as_json(vec.params), "classifier_params": _as_json(c.params), **suffix, **times,
+            "classifier_fit_time": None, "predict_time": None,
+        }
         if c not in todo:
             row["status"] = "cached"
             return row
@@ -111,15 +139,23 @@ def _run_combos(
             fitted = fit_classifier(CLASSIFIER_KINDS.get(c.kind, c.kind), x_train, c.params)
             row["classifier_fit_time"] = time.perf_counter() - started
             out = fitted.predict(x_test, labels).select(
-                "doc_id", F.lit(name).alias("model"), F.col("label").alias("y_true"), "y_pred", "proba",
+                "doc_id", F.lit(row["model"]).alias("model"), F.col("label").alias("y_true"), "y_pred", "proba",
                 *[F.lit(v).alias(k) for k, v in suffix.items()],
             )
             store.predictions(split_id, keys[c.name], lambda: out)
-        except Exception as error:  # a failing combination must not end the study
-            row["status"] = f"failed: {error}"[:500]
+            row["predict_time"] = time.perf_counter() - started - row["classifier_fit_time"]
+        except Exception as error:
+            if on_error != "record":
+                raise FailedCombination(f"{row['model']} {suffix}: {type(error).__name__}: {error}") from error
+            row["status"] = "failed"
+            row["error"] = "".join(traceback.format_exception(error))
         return row
 
-    return run_parallel([lambda c=c: run(c) for c in classifiers], parallelism)
+    return run_parallel(train.sparkSession, [lambda c=c: run(c) for c in classifiers], parallelism)
+
+
+def _as_json(params: dict) -> str:
+    return json.dumps(params, sort_keys=True, default=str)
 
 
 def labels_of(corpus: DataFrame) -> list[str]:
@@ -135,21 +171,24 @@ class Study:
     labels: list[str]
     split_id: str
 
+    def failures(self) -> list[dict]:
+        return [r for r in self.runs if r["status"] == "failed"]
+
     def results(self, *keys: str) -> DataFrame:
-        """Metrics of all combinations from one grouped query, with times and status."""
+        """Metrics of all combinations from one grouped query, with parameters, times and status."""
         spark = self.predictions.sparkSession
-        info = spark.createDataFrame(
-            [(r["model"], r["vectorizer"], r["classifier"], r["status"], r["vectorizer_fit_time"], r["classifier_fit_time"])
-             for r in self.runs],
-            "model string, vectorizer string, classifier string, status string, "
-            "vectorizer_fit_time double, classifier_fit_time double",
-        )
-        return info.join(metrics.scores(self.predictions, "model", *keys), "model", "left")
+        names = ["model", "vectorizer", "classifier", "vectorizer_params", "classifier_params", "status"]
+        seconds = ["vectorizer_fit_time", "train_transform_time", "test_transform_time", "classifier_fit_time", "predict_time"]
+        rows = [(*[r[c] for c in (*names, *keys)], *[r[c] for c in seconds], sum(r[c] or 0.0 for c in seconds)) for r in self.runs]
+        schema = ", ".join([f"{c} string" for c in names] + [f"{k} long" for k in keys] + [f"{c} double" for c in (*seconds, "total_time")])
+        info = spark.createDataFrame(rows, schema)
+        return info.join(metrics.scores(self.predictions, "model", *keys), ["model", *keys], "left")
 
 
 def holdout_study(
     corpus: DataFrame, vectorizers: list[Component], classifiers: list[Component], test_size: float = 0.3,
     seed: int = 42, fit_scope: str = "train", store: StudyStore | None = None, parallelism: int = 2,
+    on_error: str = "raise",
 ) -> Study:
     """Evaluate the grid on one stratified holdout.
 
@@ -164,64 +203,82 @@ def holdout_study(
     scope = parts if fit_scope == "all" else train
     runs = []
     for vec in vectorizers:
-        runs += _run_combos(train, test, split_id, vec, classifiers, labels, store, scope, parallelism, {"scope": fit_scope})
+        runs += _run_combos(train, test, split_id, vec, classifiers, labels, store, scope, parallelism, {"scope": fit_scope}, on_error)
     return _collect(runs, store, split_id, labels)
 
 
 def cv_study(
     corpus: DataFrame, vectorizers: list[Component], classifiers: list[Component], k: int = 5,
-    seed: int | None = 42, store: StudyStore | None = None, parallelism: int = 2,
+    seed: int | None = 42, store: StudyStore | None = None, parallelism: int = 2, on_error: str = "raise",
 ) -> Study:
     """Evaluate the grid by stratified k-fold; the vectorizer is refitted on each fold's
-    training part once and shared by all classifiers."""
+    training part once and shared by all classifiers.
+
+    The corpus is written once, partitioned by fold, so that every fold afterwards is a choice
+    of folders: no text is shuffled again.
+    """
     store = store or StudyStore(corpus.sparkSession)
-    folded = split.kfold(corpus, k, seed)
-    tagged = folded.withColumn("part", F.col("fold").cast("string"))
-    split_id = params_hash(split.split_fingerprint(tagged).first()["split_id"], k, seed)
+    folds = split.kfold(corpus.select("doc_id", "label"), k, seed)
+    split_id = params_hash(split.split_fingerprint(folds.withColumn("part", F.col("fold").cast("string"))).first()["split_id"], k, seed)
+    folds = store.table(f"folds/split_id={split_id}", lambda: folds.select("doc_id", "fold"))
+    path = f"corpus/split_id={split_id}"
+    if not store.has(path):
+        tagged = corpus.select("doc_id", "text", "label").join(folds, "doc_id")
+        tagged.write.mode("overwrite").partitionBy("fold").parquet(f"{store.root}/{path}")
+    folded = store.spark.read.parquet(f"{store.root}/{path}")
     labels = labels_of(corpus)
     runs = []
     for vec in vectorizers:
         for fold in range(k):
             train, test = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-            runs += _run_combos(train, test, split_id, vec, classifiers, labels, store, train, parallelism, {"fold": fold})
+            runs += _run_combos(train, test, split_id, vec, classifiers, labels, store, train, parallelism, {"fold": fold}, on_error)
     return _collect(runs, store, split_id, labels)
 
 
 def _collect(runs: list[dict], store: StudyStore, split_id: str, labels: list[str]) -> Study:
-    done = [r["key"] for r in runs if not r["status"].startswith("failed")]
+    done = [r["key"] for r in runs if r["status"] != "failed"]
     if not done:
-        raise RuntimeError("no combination succeeded: " + "; ".join(r["status"] for r in runs))
+        raise FailedCombination("no combination succeeded; the last error was " + str(runs[-1]["error"]))
     return Study(runs, store.all_predictions(split_id, done), labels, split_id)
 
 
 def cv_summary(study: Study) -> DataFrame:
-    """Mean and deviation over the folds for every combination."""
-    per_fold = metrics.scores(study.predictions, "model", "fold")
+    """Mean and deviation over the folds, for combinations that have all of them."""
+    partial = sorted({r["model"] for r in study.failures()})
+    per_fold = metrics.scores(study.predictions, "model", "fold").filter(~F.col("model").isin(partial))
     names = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_precision", "weighted_recall", "weighted_f1"]
     return metrics.mean_std(per_fold, names, "model")
 
 
 def pipeline_report(holdout: Study | None, cv: Study | None) -> DataFrame:
-    """One row per combination: holdout metrics and report, fold means, fold metrics as JSON."""
+    """One row per combination: parameters, holdout metrics, times and report, fold means and deviations of
+    metrics and times, and the folds' metrics and reports as JSON."""
     out = None
+    ids = ["model", "vectorizer", "classifier", "vectorizer_params", "classifier_params"]
     if holdout is not None:
-        report = metrics.classification_report(holdout.predictions, "model")
-        as_json = metrics.archive_report(metrics.reports_as_rows(report, "model"))
+        as_json = metrics.archive_report(metrics.reports_as_rows(metrics.classification_report(holdout.predictions, "model"), "model"))
         scores = holdout.results()
-        renamed = [F.col(c).alias(f"holdout_{c}") for c in scores.columns if c not in ("model", "vectorizer", "classifier")]
-        out = scores.select("model", "vectorizer", "classifier", *renamed).join(
+        renamed = [F.col(c).alias(f"holdout_{c}") for c in scores.columns if c not in ids]
+        out = scores.select(*ids, *renamed).join(
             as_json.withColumnRenamed("report_json", "holdout_classification_report_json"), "model", "left"
         )
     if cv is not None:
         summary = cv_summary(cv)
         summary = summary.select("model", *[F.col(c).alias(f"cv_{c}") for c in summary.columns if c != "model"])
-        per_fold = metrics.scores(cv.predictions, "model", "fold")
-        entry = F.struct("fold", *[c for c in per_fold.columns if c not in ("model", "fold")])
+        per_fold = cv.results("fold")
+        seconds = [c for c in per_fold.columns if c.endswith("_time")]
+        entry = F.struct("fold", *[c for c in per_fold.columns if c not in (*ids, "fold")])
         folds = per_fold.groupBy("model").agg(
-            F.count("*").alias("cv_folds_completed"),
+            F.count(F.lit(1)).alias("cv_folds_requested"),
+            F.count_if(F.col("status") != "failed").alias("cv_folds_completed"),
+            *[f(c).alias(f"cv_{c}_{name}") for c in seconds for name, f in (("mean", F.avg), ("std", F.stddev_pop))],
             F.to_json(F.sort_array(F.collect_list(entry))).alias("cv_fold_metrics_json"),
         )
-        both = summary.join(folds, "model")
+        reports = metrics.archive_report(metrics.reports_as_rows(metrics.classification_report(cv.predictions, "model", "fold"), "model", "fold"))
+        listed = reports.groupBy("model").agg(F.to_json(F.sort_array(F.collect_list(F.struct("fold", "report_json")))).alias("cv_fold_reports_json"))
+        both = folds.join(listed, "model", "left").join(summary, "model", "left")
+        if out is None:
+            both = per_fold.select(*ids).distinct().join(both, "model")
         out = both if out is None else out.join(both, "model", "left")
     return out.withColumn("run_timestamp", F.current_timestamp())
 
@@ -242,18 +299,21 @@ def grid_search(estimator, grid: list, train: DataFrame, k: int = 3, seed: int =
 
 
 def choose_models(
-    preds: DataFrame, labels: list[str], strategy: str = "forward", scores: DataFrame | None = None, **limits
+    preds: DataFrame, labels: list[str], strategy: str = "forward", scores: DataFrame | None = None,
+    cv_scores: DataFrame | None = None, **limits
 ) -> tuple[list[str], dict[str, float]]:
     """Names in order of acceptance and their normalised weights.
 
     ``threshold`` uses only error overlap; ``forward`` adds the best gain per round;
-    ``improve`` walks the ranking.  Weights are the ranking score.
+    ``improve`` walks the ranking. Models are ranked and weighted by their rank score: macro-F1
+    of cross-validation (``cv_scores``: model, macro_f1_mean), else of the holdout, else 0; ties
+    go to the larger holdout macro-F1.
     """
-    table = metrics.scores(preds, "model") if scores is None else scores
-    ranked_rows = ensemble.rank_results(table).orderBy("rank").select("model", "macro_f1").collect()
+    ranking = ranked_models(metrics.scores(preds, "model") if scores is None else scores, cv_scores)
+    ranked_rows = ranking.orderBy("rank").select("model", "rank_score").collect()  # one row a model
     voting = {r["model"] for r in ensemble.with_probabilities(preds).select("model").distinct().collect()}
     ranked = [r["model"] for r in ranked_rows if r["model"] in voting]
-    weights = {r["model"]: r["macro_f1"] for r in ranked_rows}
+    weights = {r["model"]: r["rank_score"] for r in ranked_rows}
     pairs = ensemble.PairTable.collect(diversity.pairwise_diversity(preds))
     if strategy == "threshold":
         chosen = ensemble.select_by_threshold(ranked, pairs, **limits) or ranked[:5]
@@ -270,20 +330,32 @@ def choose_models(
     return chosen, ensemble.final_weights(chosen, weights)
 
 
-def selection_table(spark, chosen: list[str], weights: dict, specs: dict, scores: DataFrame) -> DataFrame:
-    """Ranked selection with component specs, ready for the selection document."""
+def ranked_models(scores: DataFrame, cv_scores: DataFrame | None = None) -> DataFrame:
+    """model, accuracy, holdout_macro_f1, cv_macro_f1_mean, rank_score and rank."""
+    table = scores.select("model", "accuracy", F.col("macro_f1").alias("holdout_macro_f1"))
+    if cv_scores is None:
+        table = table.withColumn("cv_macro_f1_mean", F.lit(None).cast("double"))
+    else:
+        table = table.join(cv_scores.select("model", F.col("macro_f1_mean").alias("cv_macro_f1_mean")), "model", "left")
+    scored = ensemble.rank_score(table)
+    order = Window.orderBy(F.desc("rank_score"), F.desc(F.coalesce(F.nanvl("holdout_macro_f1", F.lit(-1.0)), F.lit(-1.0))), "model")
+    return scored.withColumn("rank", F.row_number().over(order))
+
+
+def selection_table(spark, chosen: list[str], weights: dict, specs: dict, ranking: DataFrame) -> DataFrame:
+    """Ranked selection with component specs and metrics (see ``ranked_models``)."""
     rows = [
-        (i + 1, n, specs[n][0].kind, json.dumps(specs[n][0].params), specs[n][1].kind, json.dumps(specs[n][1].params), weights[n])
+        (i + 1, n, specs[n][0].kind, _as_json(specs[n][0].params), specs[n][1].kind, _as_json(specs[n][1].params), weights[n])
         for i, n in enumerate(chosen)
     ]
     base = spark.createDataFrame(
         rows, "rank int, name string, vec_class string, vec_params string, clf_type string, clf_params string, weight double"
     )
-    return base.join(scores.select(F.col("model").alias("name"), "accuracy", "macro_f1"), "name", "left").select(
+    return base.join(ranking.select(F.col("model").alias("name"), "holdout_macro_f1", "cv_macro_f1_mean"), "name", "left").select(
         "rank", "name",
         F.struct(F.col("vec_class").alias("class"), F.col("vec_params").alias("params")).alias("vectorizer"),
         F.struct(F.col("clf_type").alias("type"), F.col("clf_params").alias("params")).alias("classifier"),
-        F.struct("accuracy", "macro_f1").alias("metrics"), "weight",
+        F.struct("holdout_macro_f1", "cv_macro_f1_mean").alias("metrics"), "weight",
     )
 
 
@@ -319,11 +391,8 @@ def run_ensemble(
     labels = labels_of(corpus)
     train, test = parts.filter("part = 'train'"), parts.filter("part = 'test'")
     runs = []
-    for _, vec, clf, _ in members:  # a member is named after its vectorizer and classifier
-        runs += _run_combos(train, test, split_id, vec, [clf], labels, store, train, 1, {"scope": "train"})
-    failed = [r for r in runs if r["status"].startswith("failed")]
-    if failed:
-        raise RuntimeError("; ".join(r["status"] for r in failed))
+    for name, vec, clf, _ in members:
+        runs += _run_combos(train, test, split_id, vec, [clf], labels, store, train, 1, {"scope": "train"}, names={clf.name: name})
     preds = store.all_predictions(split_id, [r["key"] for r in runs])
     weights = spark.createDataFrame(
         [(r["model"], float(m[3])) for r, m in zip(runs, members, strict=True)], "model string, weight double"

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side may hold at most this many (narrow) rows.
+# A broadcast side may hold at most this many rows and bytes.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 128 << 20
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -18,6 +22,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lexigrid")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="lexigrid-checkpoint-"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -40,22 +45,46 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+            return F.aggregate(F.coalesce(F.transform(value, lambda x: _bytes(x, inner).cast("long")), F.array().cast("array<long>")), F.lit(16).cast("long"), lambda a, x: a + x)
+        return F.greatest(F.size(value), F.lit(0)) * 8 + 16
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, T.UserDefinedType):
+        return F.octet_length(F.to_json(F.struct(value.alias("v"))))
+    if isinstance(kind, T.MapType):
+        return F.octet_length(F.to_json(value))
+    return F.lit(8)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether a table has few enough rows and bytes to be sent to every executor."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8)).cast("long")
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n <= max_rows and (size or 0) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a check of the size; else leave the choice to Spark."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder the cluster names; make one only where none is set."""
+    """Use the checkpoint folder that the cluster names; only such a folder is shared by all executors."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexigrid-checkpoint-"))
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -69,13 +98,25 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def run_parallel(tasks: list, workers: int = 4) -> list:
-    """Run independent fits from a few driver threads; Spark interleaves their small jobs."""
-    if workers <= 1 or len(tasks) <= 1:
+_in_pool = threading.local()
+
+
+def run_parallel(spark: SparkSession, tasks: list[Callable], workers: int = 4) -> list:
+    """Run independent fits from a few driver threads; Spark interleaves their small jobs.
+
+    Tasks started from inside a task run one after the other in its thread, so there is only
+    ever one pool. The first error is raised once all tasks have ended.
+    """
+    if workers <= 1 or len(tasks) <= 1 or getattr(_in_pool, "on", False):
         return [t() for t in tasks]
+
+    def marked(task: Callable):
+        _in_pool.on = True
+        return task()
+
     with ThreadPoolExecutor(min(workers, len(tasks))) as pool:
-        inherit = inheritable_thread_target(SparkSession.getActiveSession())
-        return list(pool.map(lambda t: inherit(t)(), tasks))
+        inherit = inheritable_thread_target(spark)
+        return list(pool.map(lambda t: inherit(marked)(t), tasks))
 
 
 def pack(df: DataFrame, n_rows: int, rows_per_partition: int = 2000) -> DataFrame:

@@ -17,9 +17,16 @@ from pyspark.sql import functions as F
 from lexigrid.session import ensure_checkpoint_dir
 
 
+def _named(value):
+    """JSON for what JSON has no form for; a function counts by its module and name."""
+    if callable(value):
+        return f"{getattr(value, '__module__', '')}.{getattr(value, '__qualname__', type(value).__qualname__)}"
+    return list(value)
+
+
 def params_hash(*specs) -> str:
     """Key of a component: class and parameters, not just its name."""
-    text = json.dumps(specs, sort_keys=True, ensure_ascii=False, default=list)
+    text = json.dumps(specs, sort_keys=True, ensure_ascii=False, default=_named)
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 

@@ -55,15 +55,15 @@ def write_predictions(votes: DataFrame, corpus: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """One JSON object per row; missing values are kept as null."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """One JSON object per row; missing values are kept as null, variants become objects."""
+    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).write.mode("overwrite").text(path)
 
 
 def selection_document(selection: DataFrame) -> DataFrame:
     """One row ``{"selected_models": [...]}`` in rank order.
 
-    ``selection`` has rank, name, vectorizer, classifier (structs), metrics and weight; it
-    holds at most ``max_models`` rows.
+    ``selection`` has rank, name, vectorizer, classifier (structs with params as JSON text),
+    metrics and weight; it holds at most ``max_models`` rows. Params become objects.
     """
     models = F.sort_array(
         F.collect_list(F.struct("rank", "name", "vectorizer", "classifier", "metrics", "weight"))
@@ -71,9 +71,13 @@ def selection_document(selection: DataFrame) -> DataFrame:
     return selection.agg(
         F.transform(
             models,
-            lambda m: F.struct(m["name"].alias("name"), m["vectorizer"].alias("vectorizer"),
-                               m["classifier"].alias("classifier"), m["metrics"].alias("metrics"),
-                               m["weight"].alias("weight")),
+            lambda m: F.struct(
+                m["name"].alias("name"),
+                F.struct(m["vectorizer"]["class"].alias("class"), F.parse_json(m["vectorizer"]["params"]).alias("params")).alias("vectorizer"),
+                F.struct(m["classifier"]["type"].alias("type"), F.parse_json(m["classifier"]["params"]).alias("params")).alias("classifier"),
+                m["metrics"].alias("metrics"),
+                m["weight"].alias("weight"),
+            ),
         ).alias("selected_models")
     )
 

@@ -1,3 +1,5 @@
+import json
+
 import math
 
 import pytest
@@ -175,12 +177,12 @@ def test_improving_selection():
     assert ensemble.select_improving(["a", "b", "c"], pairs, trial) == (["a", "c"], 0.6)
 
 
-def test_grid_expansion_golden():
-    tfidf = {"class": "T", "name_template": "t_{max_features}", "params": {"max_features": [5, 10, 20], "ngram_range": [[1, 2], [1, 3], [2, 5]], "min_df": [2]}}
-    points = sweep.expand_grid([tfidf])
-    assert len(points) == 9 and points[0] == ("t_5", "T", {"max_features": 5, "ngram_range": [1, 2], "min_df": 2})
-    boosted = {"n": [300, 600], "d": [6, 8], "lr": [0.05, 0.1], "ss": [0.8, 1.0], "cs": [0.8, 1.0]}
-    assert len(sweep.expand_params(boosted)) == 32 and sweep.expand_params({"d": None}) == [{"d": None}]
+def test_grid_points_are_the_product_of_the_axes(spark):
+    axes = {"n": [300, 600], "range": [[1, 2], [1, 3], [2, 5]], "kind": "word", "depth": [None, 4]}
+    rows = sweep.grid_points(spark, "trees", axes).collect()
+    params = [json.loads(r["params"]) for r in rows]
+    assert len(rows) == 12 == len({r["point"] for r in rows}) and all(r["kind"] == "trees" and r["point"].startswith("trees-") for r in rows)
+    assert sorted(map(str, params)) == sorted(str({"n": n, "range": g, "kind": "word", "depth": d}) for n in axes["n"] for g in axes["range"] for d in axes["depth"])
 
 
 def test_pending_and_union(spark, probas):

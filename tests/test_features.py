@@ -5,6 +5,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from lexigrid.functions import text as tx
+from lexigrid import session
 from lexigrid.operators import embed, vocab
 from lexigrid.operators import features as ft
 from lexigrid.functions.vectors import align_to_labels, argmax_index, array_to_vector, masked_mean_pool
@@ -57,7 +58,10 @@ def test_tfidf_rows_have_norm_one_or_zero_and_match_long_form(spark):
     for i, v in rows.items():
         assert math.isclose(np.linalg.norm(v), 0.0 if i in (3, 4) else 1.0, abs_tol=1e-12)
     long = ft.tfidf_long(df, grams(), vocab.fit_vocabulary(df, grams())).collect()
+    assert {r["doc_id"] for r in long if r["idx"] is None and r["value"] == 0} == {3, 4}
     for r in long:
+        if r["idx"] is None:
+            continue
         assert math.isclose(rows[r["doc_id"]][r["idx"]], r["value"], rel_tol=1e-12)
     assert len(long) == sum(int((v > 0).sum()) for v in rows.values())
 
@@ -66,7 +70,7 @@ def test_hot_and_cold_lookup_equals_broadcast(spark, monkeypatch):
     df = corpus(spark)
     v = vocab.fit_vocabulary(df, grams())
     plain = sorted(map(tuple, ft.count_long(df, grams(), v, "doc_id").select("doc_id", "idx", "tf").collect()))
-    monkeypatch.setattr(ft, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
     terms = df.select("doc_id", F.explode(grams()).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     split = sorted(map(tuple, ft.lookup_terms(terms, v, hot=2).select("doc_id", "idx", "tf").collect()))
     assert plain == split
@@ -127,7 +131,7 @@ def test_argmax_and_alignment(spark):
 
 def test_word_vectors_ignore_unknown_tokens(spark):
     df = spark.createDataFrame([(i, "u v u v w") for i in range(20)] + [(99, "u unknown"), (100, "nothing")], "doc_id long, text string")
-    fitted = embed.fit_word_vectors(df, vector_size=4, min_count=2, partitions=2)
+    fitted = embed.fit_word_vectors(df, vector_size=4, min_count=2, copies=2)
     table = {r["word"]: r["vector"].toArray() for r in fitted.model.getVectors().collect()}
     assert set(table) == {"u", "v", "w"}
     rows = {r["doc_id"]: r["features"].toArray() for r in fitted.transform(df).collect()}
@@ -135,21 +139,23 @@ def test_word_vectors_ignore_unknown_tokens(spark):
     assert np.allclose(rows[0], (2 * table["u"] + 2 * table["v"] + table["w"]) / 5, atol=1e-5)
 
 
-def test_subword_vectors(spark):
-    df = spark.createDataFrame([(i, "red green blue" if i % 2 else "one two three") for i in range(60)] + [(99, "zzz")], "doc_id long, text string")
-    fitted = embed.fit_subword_vectors(df, vector_size=8, min_count=2, epochs=15, buckets=500, window=2, rate=0.5)
-    assert "zzz" not in fitted.words and np.isfinite(fitted.vectors).all()
-    v = {w: x / np.linalg.norm(x) for w, x in zip(fitted.words, fitted.vectors)}
-    assert v["red"] @ v["blue"] > v["red"] @ v["two"]
-    rows = {r["doc_id"]: r["features"].toArray() for r in fitted.transform(df).collect()}
-    assert np.allclose(rows[99], 0)
-    want = np.mean([fitted.vectors[fitted.words.index(w)] for w in ("red", "green", "blue")], axis=0)
-    assert np.allclose(rows[1], want, atol=1e-6)
+def test_encoder_gets_whole_texts(spark):
+    def make():
+        def predict(texts):
+            return np.array([[len(t.split()), sum(map(ord, t))] for t in texts], dtype=np.float32).reshape(len(texts), 2)
+
+        return predict
+
+    df = spark.createDataFrame([(1, "a " * 5000), (2, "a b"), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["features"].toArray().tolist() for r in embed.encode_texts(df, make).collect()}
+    assert got[1][0] == 5000 and got[2] == [2.0, 227.0] and got[3] == [0.0, 0.0]
+
+
+def test_frequency_bounds_as_shares_and_numbers(spark):
+    df = spark.createDataFrame([(i, "all " + ("half " if i % 2 else "") + ("rare " if i == 1 else "")) for i in range(10)], "doc_id long, text string")
 
+    def terms(**bounds):
+        return {r["term"] for r in ft.NgramVectorizer(**bounds).vocabulary(df).collect()}
 
-def test_encoder_truncates_only_when_asked(spark):
-    df = spark.createDataFrame([(1, "a b c"), (2, "a b"), (3, None)], "doc_id long, text string")
-    short = {r["doc_id"]: r["features"] for r in embed.encode_texts(df, embed.hash_token_encoder(8, 2)).collect()}
-    whole = {r["doc_id"]: r["features"] for r in embed.encode_texts(df, embed.hash_token_encoder(8, None)).collect()}
-    assert short[1] == short[2] and whole[1] != whole[2]
-    assert not np.any(whole[3].toArray())
+    assert terms() == {"all", "half", "rare"} and terms(minDF=0.5) == {"all", "half"} and terms(maxDF=5.0) == {"half", "rare"}
+    assert terms(minDF=2.0, maxDF=0.5) == {"half"}

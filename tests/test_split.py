@@ -44,9 +44,10 @@ def test_rare_class_and_null_label(spark):
 
 
 @pytest.mark.parametrize("seed", [42, None])
-def test_kfold_sizes(spark, seed):
+def test_kfold_sizes(spark, seed, monkeypatch):
+    monkeypatch.setattr(split, "BUCKET_ROWS", 3)
     df = labelled(spark, 101)
-    rows = split.kfold(df, 4, seed, id_buckets=5).collect()
+    rows = split.kfold(df, 4, seed).collect()
     assert len(rows) == 101
     for group in [rows] + [[r for r in rows if r["label"] == c] for c in "abc"]:
         sizes = [sum(r["fold"] == f for r in group) for f in range(4)]

@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ CASES = {
     "mlp": {"hidden_layer_sizes": [16], "max_iter": 30},
     "xgb": {"n_estimators": 3, "max_depth": 3},
     "svc": {"n_components": 64, "max_iter": 10},
+    "linear_svc": {"max_iter": 10, "class_weight": "balanced"},
     "cnb": {"alpha": 1.0},
 }
 
@@ -78,8 +80,85 @@ def test_second_run_trains_nothing(spark, small, tmp_path, monkeypatch):
     second = study.holdout_study(corpus, VEC, CLF, store=store)
     assert {r["status"] for r in second.runs} == {"cached"}
     assert sorted(map(str, second.predictions.collect())) == before
-    changed = study.holdout_study(corpus, VEC, [CLF[0], study.Component("lr", "logreg", {"max_iter": 11})], store=store)
-    assert [r["status"].split(":")[0] for r in changed.runs] == ["cached", "failed"]
+    changed = [CLF[0], study.Component("lr", "logreg", {"max_iter": 11})]
+    with pytest.raises(study.FailedCombination, match="trained again"):
+        study.holdout_study(corpus, VEC, changed, store=store)
+    recorded = study.holdout_study(corpus, VEC, changed, store=store, on_error="record")
+    assert [r["status"] for r in recorded.runs] == ["cached", "failed"]
+    assert "AssertionError" in recorded.failures()[0]["error"]
+
+
+def test_every_family_in_one_multi_class_grid(spark, small):
+    corpus = documents(spark, small)
+    grid = [study.Component(kind, kind, params) for kind, params in CASES.items()]
+    done = study.holdout_study(corpus, [study.Component("w", "tfidf", {"min_df": 2, "max_features": 60})], grid, parallelism=3)
+    assert len(done.labels) == 4 and [r["status"] for r in done.runs] == ["ok"] * len(grid)
+    rows = done.results().collect()
+    assert len(rows) == len(grid) and all(r["macro_f1"] > 0 and r["total_time"] > 0 and json.loads(r["vectorizer_params"])["max_features"] == 60 for r in rows)
+
+
+def test_partial_folds_are_left_out_of_the_summary(spark, small, monkeypatch):
+    fit, calls = study.fit_classifier, []
+
+    def sometimes(kind, train, params):
+        calls.append(kind)
+        if kind == "cnb" and calls.count("cnb") == 2:
+            raise OSError("lost")
+        return fit(kind, train, params)
+
+    monkeypatch.setattr(study, "fit_classifier", sometimes)
+    cv = study.cv_study(documents(spark, small), VEC, CLF, k=2, on_error="record", parallelism=1)
+    assert [r["error"].splitlines()[-1] for r in cv.failures()] == ["OSError: lost"]
+    assert [r["model"] for r in study.cv_summary(cv).collect()] == ["w+lr"]
+    report = {r["model"]: r for r in study.pipeline_report(None, cv).collect()}
+    assert (report["w+cnb"]["cv_folds_completed"], report["w+cnb"]["cv_folds_requested"]) == (1, 2)
+
+
+def test_unknown_parameters_are_refused(rows, spark, small):
+    for kind, params in (("mlp", {"alpha": 0.1}), ("rf", {"class_weight": "balanced"}), ("rf", {"max_depth": 40}), ("logreg", {"class_weight": "odd"})):
+        with pytest.raises(ValueError):
+            clf.fit_classifier(kind, rows[0], params)
+    for spec in (study.Component("w", "tfidf", {"sublinear": True}), study.Component("e", "encoder", {"max_length": 5}), study.Component("x", "nope", {})):
+        with pytest.raises(ValueError):
+            study.fit_vectorizer(spec, documents(spark, small))
+
+
+def test_user_encoder_in_a_study(spark, small):
+    def make():
+        def predict(texts):
+            return np.array([[1.0, "ó" in t, "ä" in t, "è" in t] for t in texts], dtype=np.float32).reshape(len(texts), 4)
+
+        return predict
+
+    encoder = study.Component("enc", "encoder", {"make_encoder": make, "name": "accents-1"})
+    done = study.holdout_study(documents(spark, small), [encoder], [CLF[1]])
+    assert done.results().first()["accuracy"] > 0.8
+
+
+def test_rank_score_orders_models(spark):
+    scores = spark.createDataFrame([("a", 0.9, 0.8), ("b", 0.8, 0.7), ("c", 0.7, 0.7)], "model string, accuracy double, macro_f1 double")
+    cv = spark.createDataFrame([("a", 0.5), ("b", float("nan"))], "model string, macro_f1_mean double")
+    rows = study.ranked_models(scores, cv).orderBy("rank").collect()
+    assert [(r["model"], r["rank_score"]) for r in rows] == [("b", 0.7), ("c", 0.7), ("a", 0.5)]
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 40])
+def test_both_sides_of_the_broadcast_check_agree(spark, small, monkeypatch, bound):
+    from lexigrid import session
+    from lexigrid.functions.text import word_tokens
+    from lexigrid.operators.features import tfidf_long
+    from lexigrid.operators.vocab import fit_vocabulary
+
+    monkeypatch.setattr(session, "BROADCAST_BYTES", bound)
+    corpus = documents(spark, small)
+    grams = word_tokens(F.col("text"))
+    vocab = fit_vocabulary(corpus, grams, 2)
+    got = tfidf_long(corpus, grams, vocab).agg(F.count("*"), F.round(F.sum("value"), 6)).first()
+    _BOTH.append(tuple(got))
+    assert got[0] > 0 and len(set(_BOTH)) == 1
+
+
+_BOTH = []
 
 
 def test_cv_study_and_report(spark, small):
@@ -99,13 +178,17 @@ def test_ensemble_round_trip(spark, small, tmp_path):
     chosen, weights = study.choose_models(grid.predictions, grid.labels, "improve", max_corr=1.1, max_double_fault=1.0)
     assert abs(sum(weights.values()) - 1) < 1e-12
     specs = {f"{v.name}+{c.name}": (v, c) for v in VEC for c in CLF}
-    table = study.selection_table(spark, chosen, weights, specs, grid.results())
+    ranking = study.ranked_models(metrics.scores(grid.predictions, "model"))
+    table = study.selection_table(spark, chosen, weights, specs, ranking)
     study.write_selection(table, str(tmp_path / "sel"))
+    document = json.loads(spark.read.text(str(tmp_path / "sel")).first()[0])["selected_models"][0]
+    assert document["vectorizer"]["params"]["max_features"] == 100 and document["metrics"]["holdout_macro_f1"] > 0 and document["name"] == chosen[0]
     members = study.ensemble_members(sinks.read_selection(spark, str(tmp_path / "sel")))
     assert [m[0] for m in members] == chosen and members[0][1].params == VEC[0].params
     votes, summary = study.run_ensemble(corpus, members[:1], out=str(tmp_path / "out"))
     row = summary.first()
     assert row["ensemble_accuracy"] == row["models"][0]["accuracy"]  # one member: same model
+    assert [m["name"] for m in row["models"]] == chosen[:1]
     assert row["n_train"] + row["n_test"] == corpus.count()
     written = spark.read.csv(str(tmp_path / "out/ensemble_predictions"), header=True, multiLine=True, escape='"')
     assert written.count() == votes.count() == row["n_test"]
@@ -169,7 +252,7 @@ def test_word_vector_store(spark, tmp_path):
 
     def fit():
         calls.append(1)
-        return embed.fit_word_vectors(df, vector_size=3, min_count=1, partitions=1, epochs=1)
+        return embed.fit_word_vectors(df, vector_size=3, min_count=1, copies=1, epochs=1)
 
     path = str(tmp_path / "w2v")
     a = embed.load_or_fit(spark, path, fit).transform(df).first()["features"]

@@ -57,7 +57,7 @@ def test_char_wb_matches_plain_definition(spark):
 
 def test_strip_accents(spark):
     assert one(spark, "ÀÉîõüçñß é", tx.strip_accents) == "AEioucnß e"
-    assert one(spark, "ﬁm ã", tx.strip_accents_full) == "fim a"
+    assert one(spark, "ﬁm ã … ½ ™ é\u0301", tx.strip_accents) == "fim a ... 1\u20442 TM e"
 
 
 def test_stop_words_keep_duplicates(spark):
