@@ -168,7 +168,8 @@ def strip_accents(text: Column) -> Column:
     plain = F.translate(text, source, target)
     several = F.from_json(F.lit(json.dumps([{"c": c, "p": p} for c, p in many], ensure_ascii=False)), "array<struct<c:string,p:string>>")
     replaced = F.aggregate(several, plain, lambda a, x: F.replace(a, x["c"], x["p"]))
-    return F.when(plain.rlike("[" + "".join(c for c, _ in many) + "]"), replaced).otherwise(plain)
+    none_left = F.length(F.translate(plain, "".join(c for c, _ in many), "")) == F.length(plain)
+    return F.when(none_left, plain).otherwise(replaced)
 
 
 # --- indicator features ---------------------------------------------------

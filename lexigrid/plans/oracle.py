@@ -236,7 +236,7 @@ def _walk(accept: str) -> list[str]:
     return [
         "walk(k, mask, best, names) AS (SELECT 0, 0, CAST(-1 AS DOUBLE), CAST([] AS VARCHAR[]) UNION ALL "
         f"SELECT k + 1, CASE WHEN ok THEN mask | bit ELSE mask END, CASE WHEN ok THEN f1 ELSE best END, CASE WHEN ok THEN list_append(names, model) ELSE names END FROM ("
-        f"SELECT w.*, b.bit, b.model, a.macro_f1 AS f1, mask = 0 OR ({accept}) AS ok FROM walk w JOIN bits b ON b.rank = k + 1 "
+        f"SELECT w.*, b.bit, b.model, a.macro_f1 AS f1, w.mask = 0 OR ({accept}) AS ok FROM walk w JOIN bits b ON b.rank = k + 1 "
         "JOIN avgs_s a ON a.mask = (w.mask | b.bit) LEFT JOIN overlap o ON o.mask = w.mask AND o.model = b.model))",
         "picked AS (SELECT CAST(unnest(range(1, len(names) + 1)) AS INTEGER) AS rank, unnest(names) AS model FROM walk WHERE k = 5)",
     ]
