@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigrid.session import broadcast_if_small
+
 
 def class_counts(corpus: DataFrame, label: str = "label") -> DataFrame:
     return corpus.groupBy(label).agg(F.count("*").alias("n"))
@@ -66,7 +68,7 @@ def class_weights(corpus: DataFrame, label: str = "label") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "label", kind: str = "balanced", out: str = "weight") -> DataFrame:
     """Attach the class weight to each row; the weight table has one row per class."""
     weights = class_weights(df, label).select(label, F.col(kind).alias(out))
-    return df.join(F.broadcast(weights), label)
+    return df.join(broadcast_if_small(weights), label)
 
 
 def split_sizes(split: DataFrame, label: str = "label") -> DataFrame:

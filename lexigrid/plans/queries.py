@@ -33,7 +33,7 @@ from lexigrid.operators.naive_bayes import (
     predict_models,
 )
 from lexigrid.plans import study
-from lexigrid.session import keep, spread
+from lexigrid.session import broadcast_if_small, keep, spread
 from lexigrid.sources.cache import StudyStore
 from lexigrid.sources.corpus import as_corpus, documents, pick, read_delimited, table
 from lexigrid.sources.sinks import correlation_matrix, export_vectors, read_selection, write_predictions, write_results
@@ -369,9 +369,9 @@ def label_space(spark, sf):
 def label_encode(spark, sf):
     corpus = documents(spark, sf).drop("text")
     codes = profile.label_space(corpus)
-    coded = corpus.join(F.broadcast(codes), "label")
+    coded = corpus.join(broadcast_if_small(codes), "label")
     back = codes.select(F.col("idx").alias("idx2"), F.col("label").alias("decoded"))
-    return coded.join(F.broadcast(back), F.col("idx").cast("double").cast("int") == F.col("idx2")).select(
+    return coded.join(broadcast_if_small(back), F.col("idx").cast("double").cast("int") == F.col("idx2")).select(
         "doc_id", "label", "idx", "decoded"
     )
 

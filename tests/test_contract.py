@@ -5,14 +5,16 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from lexigrid.plans import oracle
 
 # the smaller set runs by default; LEXIGRID_ALL_QUERIES=1 compares every query
 DEFAULT = (
     "corpus_select", "class_balance", "word_ngrams", "char_ngrams", "char_wb_ngrams", "regex_flags", "tfidf",
     "tfidf_word_char_flags", "stratified_holdout", "stratified_kfold", "split_fingerprint", "cnb_fit", "cnb_predict",
     "classification_report", "pairwise_diversity", "soft_vote", "param_sweep", "doc_mean_vector",
+    "select_improve", "cv_study", "vocab_shares", "delimited_round_trip", "vector_export_round_trip", "first_rows", "tfidf_unbounded",
 )
-NAMES = list(contract.oracle_sql()) if os.environ.get("LEXIGRID_ALL_QUERIES") else DEFAULT
+NAMES = list(oracle.statements()) if os.environ.get("LEXIGRID_ALL_QUERIES") else DEFAULT
 
 
 @pytest.fixture(scope="module")
