@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from lexigrid.llm.common import scratch
 
 #: Entries that a worker's table of encoded words may hold before it starts anew, at some 150 bytes.
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 500_000
 #: Text bytes of a file, about.
 FILE_BYTES = 64 << 20
 
