@@ -77,13 +77,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder that the cluster names; only such a folder is shared by all executors."""
+    """Use the checkpoint folder that the session names.
+
+    One is made only where none is set and driver and executors are one process, as in tests; on a
+    cluster only a named folder is shared by all executors.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="lexigrid-checkpoint-")
     sc.setCheckpointDir(named)
 
 
