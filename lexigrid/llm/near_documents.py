@@ -1,0 +1,150 @@
+"""Near duplicates by exact similarity: documents whose sets of word shingles have a Jaccard similarity of `similarity` or more.
+
+Links are looked for in two ways, and each is verified by the exact Jaccard of both sets. SimHash fingerprints of the shingles
+are joined by the tries of simhash.py; at a similarity of 0.8 fingerprints differ in some 10 of 64 bits, far more than tries can
+afford, so on their own they would miss most edited copies. MinHash signatures of `BANDS` bands of `ROWS` values find those: a pair
+at 0.8 shares no band with a chance of 1 in 17,000, at 0.85 of 1 in 20 million. Equal sets are one node, so copies cost one row.
+
+In a band's bucket all members are first compared with the smallest and the largest one. Buckets that are one component
+afterwards, as those of a large group of copies are, need nothing more; in others, all pairs across components are compared.
+Pairs are made distinct over bands before they are verified, and only their texts are read again.
+
+Defined cases: texts without a word have the empty set and are equal; fewer words than a shingle make one shingle; of rows of
+equal doc_id and text one stays; rows of equal doc_id and other texts are judged apart; rows without a doc_id stay, as nothing can
+name them. Other columns are not looked at. Texts may be of any length.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lexigrid.llm.common import by_rows, dropping_shuffles, raw, stored
+from lexigrid.llm.components import component_labels
+from lexigrid.llm.simhash import majority, near_links, shingle_hashes
+from lexigrid.llm.windows import by_bytes, mixed
+
+SHINGLE, SIMILARITY = 5, 0.8
+#: MinHash values of a band, and bands.
+ROWS, BANDS = 6, 32
+#: Shingles hashed at once, against all values of a signature.
+PIECE = 2048
+
+_SEEDS = mixed(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, -1, 1)
+_FACTORS, _MASKS = _SEEDS[0] | np.uint64(1), _SEEDS[1]
+
+
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """One signed 64-bit key for each band of the set's MinHash signature."""
+    least = np.full(ROWS * BANDS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), PIECE):
+        least = np.minimum(least, ((shingles[None, at : at + PIECE] ^ _MASKS) * _FACTORS).min(axis=1))
+    data = least.tobytes()
+    keys = [xxhash.xxh3_64_intdigest(data[8 * ROWS * i : 8 * ROWS * (i + 1)], i) for i in range(BANDS)]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Jaccard similarity of two arrays of distinct values; two empty ones are equal."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-9:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= similarity * (len(a) + len(b) - common) - 1e-9
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+
+
+def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, text_hash, node (hash of the set of shingles), fp (SimHash) and keys (of bands) of every row."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nodes, prints, keys = [], [], []
+        for text in raw(batch.column(2)):
+            hashes = shingle_hashes(text, shingle)
+            distinct = np.unique(hashes)
+            nodes.append(xxhash.xxh3_64_digest(distinct.tobytes()))
+            prints.append(majority(hashes))
+            keys.append(band_keys(distinct))
+        node, fp = (pa.array(np.frombuffer(b"".join(x), ">i8").astype(np.int64)) for x in (nodes, prints))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), node, fp, pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "keys"])
+
+    return _texts(docs).mapInArrow(by_rows(make), "doc_id long, text_hash long, node long, fp long, keys array<long>")
+
+
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, 1):
+            sets = [np.unique(shingle_hashes(t, shingle)).tobytes() for t in raw(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "set"])
+
+    return run
+
+
+def _verified(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, 2):
+            both = zip(raw(batch.column(2)), raw(batch.column(3)))
+            near = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
+
+    return run
+
+
+def similar_links(docs: DataFrame, found: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (a, b) between nodes that span every class of similar nodes, each verified; found: the stored sketches."""
+    spark = docs.sparkSession
+    nodes = found.groupBy("node").agg(F.min("fp").alias("fp"), F.first("keys").alias("keys"), F.min("text_hash").alias("text_hash"))
+    nodes = dropping_shuffles(spark, lambda: stored(nodes, "nodes"))
+    routed = nodes.select(F.explode("keys").alias("bucket"), "node")
+    ends = routed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    buckets = dropping_shuffles(spark, lambda: stored(routed.join(ends, "bucket"), "buckets"))
+
+    named = nodes.groupBy("fp").agg(F.min("node").alias("of"))
+    links = near_links(nodes.select("fp").distinct())
+    by_trie = links.join(named.select(F.col("fp").alias("a"), F.col("of").alias("x")), "a").join(named.select(F.col("fp").alias("b"), F.col("of").alias("y")), "b").select("x", "y")
+    by_trie = by_trie.unionByName(nodes.join(named, "fp").select(F.col("node").alias("x"), F.col("of").alias("y")))
+    stars = buckets.select("node", F.explode(F.array("low", "high")).alias("y")).select(F.col("node").alias("x"), "y")
+    pairs = by_trie.unionByName(stars).filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = dropping_shuffles(spark, lambda: stored(pairs, "pairs"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = used.join(nodes.select("node", "text_hash"), "node")
+        texts = _texts(docs).select("text_hash", "text").join(wanted, "text_hash").groupBy("node").agg(F.first("text").alias("text"))
+        sets = dropping_shuffles(spark, lambda: stored(texts.mapInArrow(_sets(shingle), "node long, set binary"), "sets"))
+        one, other = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+        both = pairs.join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b")
+        return dropping_shuffles(spark, lambda: stored(both.mapInArrow(_verified(similarity), "a long, b long"), "verified"))
+
+    near = verified(pairs)
+    labels = component_labels(near)
+    placed = buckets.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
+    placed = dropping_shuffles(spark, lambda: stored(placed.join(open_, "bucket"), "placed"))
+    one = placed.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
+    other = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    rest = one.join(other, "bucket").filter("a < b and label_a != label_b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    rest = dropping_shuffles(spark, lambda: stored(rest, "pairs"))
+    return near if rest.isEmpty() else near.unionByName(verified(rest))
+
+
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of one document of each component of similar documents, the one with the smallest doc_id."""
+    found = stored(sketches(docs, shingle), "sketches")
+    labels = component_labels(similar_links(docs, found, shingle, similarity))
+    rows = found.filter("doc_id is not null").select("doc_id", "text_hash", "node").distinct()
+    rows = rows.join(labels, "node", "left").select("doc_id", "text_hash", F.coalesce("label", "node").alias("label"))
+    first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    drop = rows.join(first, "label").filter("struct(doc_id, text_hash) > first").select(F.col("doc_id").alias("_near_id"), F.col("text_hash").alias("_near_text"))
+    marked = docs.withColumns({"_near_id": F.col("doc_id").cast("long"), "_near_text": F.xxhash64(F.coalesce("text", F.lit("")))})
+    kept = marked.join(drop, ["_near_id", "_near_text"], "left_anti")
+    once = kept.filter("_near_id is not null").dropDuplicates(["_near_id", "_near_text"])
+    return once.unionByName(kept.filter("_near_id is null")).select(*[F.col(c) for c in docs.columns])

@@ -32,21 +32,28 @@ NODE_LIMIT = 40_000
 FRONTIER, LEAVES = 1 << 17, 64
 
 
-def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> bytes:
-    """Eight bytes: a bit is 1 if it is set in over half of the shingles' hashes."""
+def shingle_hashes(text: bytes, shingle: int = 4, seed: int = 42) -> np.ndarray:
+    """Hashes of all word shingles, in order; fewer words than a shingle make one, no word none."""
     words = text.lower().split()  # on bytes: A to Z, and the six ASCII blanks
     if not words:
-        return bytes(8)
-    if len(words) < shingle:
-        return xxhash.xxh64_digest(b" ".join(words), seed)
-    n = len(words) - shingle + 1
-    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64, n)
+        return np.zeros(0, np.uint64)
+    n = max(1, len(words) - shingle + 1)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> bytes:
+    """Eight bytes: a bit is 1 if it is set in over half of the hashes."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, n, 8192):
+    for at in range(0, len(hashes), 8192):
         bits = np.unpackbits(hashes[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         counts += bits.sum(axis=0, dtype=np.uint32)
-    return np.packbits(2 * counts > n).tobytes()
+    return np.packbits(2 * counts > len(hashes)).tobytes()
+
+
+def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> bytes:
+    """Eight bytes: a bit is 1 if it is set in over half of the shingles' hashes."""
+    return majority(shingle_hashes(text, shingle, seed))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:

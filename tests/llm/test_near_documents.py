@@ -1,0 +1,71 @@
+"""The pipeline's near-dedup stage against all pairs: 5-word shingles, Jaccard similarity of 0.8 or more."""
+
+import random
+
+import corpus_pipeline
+
+VOCABULARY = [f"w{i}" for i in range(5000)]
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for i in rng.sample(range(len(out)), edits):
+        out[i] = rng.choice(VOCABULARY)
+    return out
+
+
+def expected(rows):
+    """The least doc_id of each component of all pairs at 0.8 or more."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(least.values())
+
+
+def test_stage_removes_edited_copies(spark):
+    rng = random.Random(11)
+    rows, near = [], 0
+    for k in range(40):
+        words = rng.choices(VOCABULARY, k=rng.randrange(100, 400))
+        rows.append((10 * k, " ".join(words)))
+        for n in range(1, 5):
+            rows.append((10 * k + n, " ".join(edited(rng, words, n * len(words) // 150 + 1))))
+            near += 0.8 <= jaccard(shingles(rows[-1][1]), shingles(rows[-1 - n][1])) <= 0.95
+    rows += [(1000, None), (1001, ""), (1002, "a b c"), (1003, "A  b c"), (1004, "a b d")]
+    assert near > 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == expected(rows)
+
+
+def test_stage_links_only_what_is_similar(spark):
+    """Documents that share half of their text, and a chain whose ends are not similar."""
+    rng = random.Random(3)
+    head = rng.choices(VOCABULARY, k=200)
+    rows = [(k, " ".join(head + rng.choices(VOCABULARY, k=200))) for k in range(30)]
+    link = rng.choices(VOCABULARY, k=300)
+    for k in range(12):
+        rows.append((100 + k, " ".join(link)))
+        link = edited(rng, link, 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == expected(rows) == [*range(30), 100]
