@@ -66,11 +66,12 @@ def with_grams(urls: DataFrame) -> DataFrame:
 
 
 def labelled_urls(urls: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(url, blocked): shapes of stems, and a sample of at most about `sample` of the given URLs by hash."""
+    """(url, blocked): shapes of stems, and a sample of at most about `sample` distinct given URLs by hash; null is none."""
     shapes = ["http://{a}.example.com/", "https://www.{a}-{b}.example.org/en/1", "http://m.{a}.example.net/{b}.html", "https://{a}{b}.example.com/{b}/2"]
     made = [(shape.format(a=a, b=stems[(i + 1 + k) % len(stems)]), int(stems is UNWANTED)) for stems in (UNWANTED, ORDINARY) for i, a in enumerate(stems) for k, shape in enumerate(shapes)]
-    n = urls.count()
-    some = urls.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < max(1, int((1 << 20) * min(1.0, sample / max(n, 1)))))
+    urls = urls.select("url").filter("url is not null")
+    n = urls.agg(F.approx_count_distinct("url")).first()[0]  # a value's rows are taken together, so values are counted
+    some = urls.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < max(1, int((1 << 20) * min(1.0, sample / max(n, 1))))).distinct()
     host, _ = parts(F.col("url"))
     bad = F.exists(F.split(host, "[.-]"), lambda w: w.isin(UNWANTED))
     return some.select("url", bad.cast("int").alias("blocked")).unionByName(urls.sparkSession.createDataFrame(made, "url string, blocked int"))
