@@ -5,9 +5,9 @@ windows of `width` words with one anchor gram, plus the words those windows reac
 anchor gram and content hash, each under the first document that holds it; the index is spread over the cluster by hash, so
 every document is parsed against every part of it by one join.
 
-A document is parsed greedily: from the first block that a document before it holds, a factor grows over the following blocks
-and windows as long as they are found, and the next factor starts after the first that is not. Factors are at least `width`
-words long. At factor boundaries a block can hold some repeated windows though it is not repeated as a whole. Such blocks share
+Documents are not parsed in order: window hashing replaces the greedy factorisation. Every block that a document before it holds
+is found by the join, all at once, and what blocks and windows cover is united; a factor of at least `width` words is a run of
+such windows, so the same words go. At factor boundaries a block can hold some repeated windows though it is not repeated as a whole. Such blocks share
 their anchor gram with another block of the index; only these are opened, and their windows are looked up one by one among the
 windows of the blocks with that gram. Windows hold their words' hashes, so equal windows are found wherever they stand.
 
