@@ -119,4 +119,56 @@ SELECT doc_id, size, s AS source_size, target, CAST(size * times AS BIGINT) AS t
 FROM sized JOIN fill ON sized.source IS NOT DISTINCT FROM fill.source AND sized.block = fill.block JOIN target ON sized.source IS NOT DISTINCT FROM target.source
 """
 
-STATEMENTS = {"op3_substrings": OP3, "op5_line_rules": OP5, "op7_suffix_array": OP7, "op8_decontaminate": OP8, "op9_mixing": OP9}
+#: Vectors: all pairs of a label, then what can be reached from each vector. Copies and scaled vectors are pairs like any other.
+OP12 = r"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS i, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+usable AS (
+    SELECT * FROM v
+    WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pair AS (
+    SELECT a.i AS a, b.i AS b FROM usable a JOIN usable b ON a.label = b.label AND a.i <> b.i AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM pair UNION SELECT r.a, p.b FROM reach r JOIN pair p ON r.b = p.a),
+least AS (SELECT r.a AS i, min(v.vec_id) AS least FROM reach r JOIN v ON r.b = v.i GROUP BY r.a),
+degree AS (SELECT a AS i, count(*) AS n FROM pair GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, CAST(least(vec_id, least) AS BIGINT) AS component_id, vec_id IS NOT DISTINCT FROM least(vec_id, least) AS kept
+FROM v LEFT JOIN degree USING (i) LEFT JOIN least USING (i)
+"""
+
+#: Runs: words q apart are equal over at least 16 places of any run, so equal windows of 16 words give every period; the places of one
+#: period are cut where they are not consecutive; a period goes where a smaller one covers the same words. CRC-32 is bit by bit.
+OP13 = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+           xor(list_reduce(
+               list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END), 4294967295) AS h
+    FROM documents),
+e AS (SELECT *, len(w) AS n, h // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM e),
+t AS MATERIALIZED (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w
+    FROM f),
+win AS (SELECT doc_id, unnest(range(0, n - 15)) AS i, w FROM t WHERE n >= 16),
+keyed AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS k FROM win),
+twice AS MATERIALIZED (SELECT doc_id, i, k FROM keyed QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+apart AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM twice x JOIN twice y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+island AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM apart),
+long AS (SELECT doc_id, q, min(i) AS s, max(i) + 16 + q AS e FROM island GROUP BY doc_id, q, part HAVING max(i) + 16 + q - min(i) >= greatest(24, 3 * q)),
+run AS MATERIALIZED (SELECT * FROM long x WHERE NOT EXISTS (SELECT 1 FROM long y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.e >= x.e)),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS runs,
+           first({'s': s, 'l': e - s, 'q': q} ORDER BY (e - s) / q DESC, s, q) AS best
+    FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM run),
+word AS (SELECT doc_id, unnest(range(0, n)) AS i, unnest(w) AS word FROM t),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+       CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+STATEMENTS = {
+    "op3_substrings": OP3, "op5_line_rules": OP5, "op7_suffix_array": OP7, "op8_decontaminate": OP8, "op9_mixing": OP9, "op12_vector_join": OP12,
+    "op13_periodic_runs": OP13,
+}
