@@ -69,8 +69,7 @@ def _proposals(codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
             first = np.flatnonzero(np.concatenate(([True], (np.diff(here) != 1) | (np.diff(period) != 0))))
             last = np.append(first[1:], len(here)) - 1
             found.append((here[first], here[last] + m, period[first]))
-        again = np.zeros(len(place), bool)
-        again[:-1], again[1:] = same, again[1:] | same
+        again = np.append(same, False) | np.insert(same, 0, False)
         names = np.full(len(codes) + m, -1, np.int64)
         names[place[order[again]]] = np.cumsum(np.concatenate(([0], ~same)))[again]
         place = place[names[place] >= 0]
