@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrid.llm import decontaminate, mixing, near_documents, quality_model, token_files
+from lexigrid.llm import decontaminate, mixing, quality_model, simhash, token_files
 from lexigrid.llm.common import stored, table
 
 #: Cannot be put in SQL: the classifier is fitted, fingerprints are XXH64, ids come from a tokenizer file.
@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates: 5-word shingles, exact similarity of 0.8 or more."""
-    return near_documents.deduplicated(docs)
+    """The first document of each group of fingerprints within 4 bits: 4-word shingles, linked by the trie join."""
+    return simhash.deduplicated(docs, shingle=4, errors=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
