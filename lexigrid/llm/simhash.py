@@ -56,15 +56,16 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> bytes:
     return majority(shingle_hashes(text, shingle, seed))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id and the fingerprint as a signed long, for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, *others: str) -> DataFrame:
+    """doc_id, the fingerprint as a signed long and other long columns, for every row."""
+    names = ["doc_id", "fp", *others]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.frombuffer(b"".join(fingerprint(t, shingle) for t in raw(batch.column(1))), ">i8").astype(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), *batch.columns[2:]], names)
 
-    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(by_rows(make), "doc_id long, fp long")
+    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), *others)
+    return source.mapInArrow(by_rows(make), ", ".join(f"{c} long" for c in names))
 
 
 class _Forest:
@@ -195,26 +196,41 @@ def near_links(prints: DataFrame, errors: int = 4, node_limit: int = NODE_LIMIT)
         "fp", "node", "deep", F.least("sub", "t").alias("lo"), F.greatest("sub", "t").alias("hi"),
         (F.col("sub") > F.col("t")).cast("int").alias("side"),
     )
-    parts = max(prints.sparkSession.sparkContext.defaultParallelism, -(-total * len(blocks) // 400_000))
+    copies = wide.count() if large.count() else total * len(blocks)  # a node that is split sends each code several times
+    parts = max(prints.sparkSession.sparkContext.defaultParallelism, -(-copies // 400_000))
     return wide.repartition(parts, "node", "lo", "hi").mapInArrow(_links(blocks, errors), "a long, b long")
 
 
+def _classes(prints: DataFrame, errors: int) -> DataFrame:
+    """fp and label (one for each component) of every distinct fingerprint."""
+    distinct = prints.select("fp").distinct()
+    labels = component_labels(near_links(distinct, errors)).withColumnRenamed("node", "fp")
+    return distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, errors: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     prints = stored(fingerprints(docs, shingle), "fingerprints")
-    by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    labels = component_labels(near_links(prints.select("fp").distinct(), errors))
-    by_print = by_print.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(_classes(prints, errors), "fp")
     smallest = by_print.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = by_print.join(smallest, "label").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, shingle: int = 4, errors: int = 4) -> DataFrame:
-    """The rows of one document of each component, the one with the smallest doc_id; of its repeated rows one stays.
+    """One document of each component, the one with the smallest doc_id (of several such, the smallest fingerprint, then hash of text).
 
-    Rows without a doc_id stay: nothing can name them.
+    A document is a doc_id with a text: rows of one doc_id with other texts are judged apart, and of repeated rows of a document that
+    stays one stays. Rows without a doc_id stay: nothing can name them. Columns keep their names and order, whatever these are.
     """
-    drop = simhash_groups(docs, shingle, errors).filter("doc_id > component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    prints = stored(fingerprints(keyed, shingle, "text_hash"), "fingerprints").filter("doc_id is not null")
+    by_print = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "text_hash")).alias("own")).join(_classes(prints, errors), "fp")
+    first = by_print.groupBy("label").agg(F.min("own").alias("first"))
+    named = by_print.join(first, "label").select("fp", "first")
+    gone = prints.join(named, "fp").filter("struct(doc_id, fp, text_hash) != first").select("doc_id", "text_hash").distinct()
+    row = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("of"))
+    kept = row.join(gone, (F.col("id") == F.col("doc_id")) & (F.col("of") == F.col("text_hash")), "left_anti")
+    if not prints.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty():  # else no row is repeated, and texts need no shuffle
+        kept = kept.filter("id is not null").dropDuplicates(["id", "of"]).unionByName(kept.filter("id is null"))
+    return kept.select("row.*")
