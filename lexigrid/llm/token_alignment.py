@@ -18,54 +18,90 @@ may be of any length, only whole texts are aligned.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import raw, stored
+from lexigrid.llm.common import stored
 from lexigrid.llm.windows import by_bytes
 
-#: Aligned chunks that a worker keeps in each of two generations, at some 500 bytes.
-MEMO_ENTRIES = 150_000
+#: Aligned chunks that a worker keeps before it starts anew, at some 300 bytes, and chunks that are aligned at once.
+MEMO_ENTRIES, LEARNT = 400_000, 8192
+#: Bytes of text that are aligned at once, about.
+PIECE = 2 << 20
 #: Distinct pairs that a worker sums up before it hands them on.
 HELD_PAIRS = 1 << 20
 #: Pairs whose counts are sent to every worker, at 16 bytes; more are joined by a shuffle.
 BROADCAST_PAIRS = 4_000_000
 
-_PLAIN = re.compile(r"\s\s|[^\S \n]|^\s|\s$|\x00")
+_OTHER = re.compile(r"[^\S \n]|\x00")
 _CHUNK = re.compile(r"(?<=\S)(?=[ \n])")
+#: Chunks in which the ranks' pattern and the file's pattern surely see the same letters.
+_LATIN = re.compile(r"[\x20-\x7e\xa1-\u024f\n]*")
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def is_plain(text: str) -> bool:
+    """Whether words stand behind single blanks or line feeds only."""
+    return not _OTHER.search(text) and len(text.split()) == text.count(" ") + text.count("\n") + 1
+
+
 def chunks(text: str) -> list[str]:
     """Pieces of a space and the text, each white space and what follows up to the next blank or line feed."""
-    if _PLAIN.search(text):
-        return _CHUNK.split(" " + text)
-    return (" " + text).replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")[1:]
-
-
-def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
-    """Groups (from and to in a, from and to in b) and links (index in a, index in b) of two tokenizations of the same bytes."""
-    ends_a, ends_b = list(accumulate(a_sizes)), list(accumulate(b_sizes))
-    index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        to_i, to_j = index_a[end], index_b[end]
-        groups.append((i, to_i, j, to_j))
-        while i < to_i:
-            links.append((i, j))
-            at_a, at_b = ends_a[i], ends_b[j]
-            i += at_a <= at_b
-            j += at_b <= at_a
-    return groups, links
+    return _CHUNK.split(" " + text)
+
+
+def key_of(chunk: str) -> str:
+    """A chunk without the blank in front; where that would not tell it from others, a zero character and the chunk."""
+    if chunk[0] == "\n":
+        return chunk
+    return "\x00" + chunk if chunk[1:2] in ("", " ", "\n") else chunk[1:]
+
+
+def chunk_of(key: str) -> str:
+    if key[:2] in ("\x00 ", "\x00\n"):
+        return key[1:]
+    return key if key[0] == "\n" else " " + key
+
+
+def keyed(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Keys of each text's chunks, end to end, and how many each text has."""
+    strings = texts.to_pylist()
+    plain = np.fromiter((bool(t) and is_plain(t) for t in strings), bool, len(strings))
+    split = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(plain)), "\n", " \n"), " ")
+    odd = [[key_of(c) for c in chunks(t)] if t else [] for t, p in zip(strings, plain) if not p]
+    if not odd:
+        return pc.list_value_length(split).to_numpy().astype(np.int64), split.flatten()
+    lists = pa.concat_arrays([split, pa.array(odd, split.type)])
+    order = np.argsort(np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain))))
+    lists = lists.take(pa.array(order))
+    return pc.list_value_length(lists).to_numpy().astype(np.int64), lists.flatten()
+
+
+def common_ends(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes where a token of A and one of B end, and how many tokens of either have ended there."""
+    index_a, index_b = dict(zip(a_ends, range(1, len(a_ends) + 1))), dict(zip(b_ends, range(1, len(b_ends) + 1)))
+    both = sorted(index_a.keys() & index_b.keys())
+    return tuple(np.array(x, np.int64) for x in (both, [index_a[e] for e in both], [index_b[e] for e in both]))
+
+
+def linked(a_ends: np.ndarray, b_ends: np.ndarray, a_to: np.ndarray, b_to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (in A, in B) of all tokens that overlap, in order: inside a group each end but the last starts a new pair."""
+    ends = np.unique(np.concatenate((a_ends, b_ends)))
+    group = np.searchsorted(a_ends[a_to - 1], ends)  # the slice that an end lies in
+    a, b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    return np.minimum(a, a_to[group] - 1), np.minimum(b, b_to[group] - 1)
 
 
 def _byte_of() -> dict[str, int]:
@@ -75,8 +111,23 @@ def _byte_of() -> dict[str, int]:
     return {chr(x): x for x in own} | {chr(0x100 + i): x for i, x in enumerate(others)}
 
 
+def _ranked(path: str, token_bytes: dict[int, bytes]):
+    """The BPE file as an encoder of ranks, if its merges are in the order of its ids; else None."""
+    import tiktoken
+
+    with open(path) as f:
+        file = json.load(f)
+    model, vocabulary = file["model"], file["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    byte_level = (file.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not file.get("normalizer")
+    if not byte_level or any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    ranks = {token_bytes[i]: i for t, i in vocabulary.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(merges) else None
+
+
 class Aligner:
-    """Both tokenizers, and the chunks that they have aligned."""
+    """Both tokenizers, and the chunks that they have aligned: numbers of their entries by key."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -86,9 +137,9 @@ class Aligner:
         self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
         self.a.encode_special_tokens = True
         byte_of, vocabulary = _byte_of(), self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        a_bytes = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in vocabulary.items()}
+        self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
+        self.ranks = _ranked(a_path, a_bytes)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -96,43 +147,98 @@ class Aligner:
             if plain and ("▁" in piece.lstrip("▁") or "\n" in piece):
                 raise ValueError(f"piece {piece!r} goes on behind white space")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        n = max(len(self.a_bytes), len(self.b_bytes))
+        self.digits = np.zeros((n, len(str(n)) + 1), np.uint8)
+        for i in range(n):
+            self.digits[i, : len(str(i))] = np.frombuffer(str(i).encode(), np.uint8)
+        self.n_digits = (self.digits > 0).sum(axis=1)
         self.space = self.b.piece_to_id("▁")
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def ids(self, parts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and of B for each chunk."""
-        a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        # B puts a blank in front: it is the chunk's own, or must go again
-        b = self.b.encode([c[1:] if c[0] == " " else c for c in parts], num_threads=1)
-        for chunk, x, y in zip(parts, a, b):
-            yield x, [self.space] if chunk == " " else y if chunk[0] == " " else y[1:]
-
-    def entry(self, chunk: str, a: list[int], b: list[int]) -> tuple | None:
-        """Tokens of A, of B, groups, links, the groups' string and the links as id pairs; None if the ids do not spell the chunk."""
-        want, x, y = chunk.encode(), [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(x) != want or b"".join(y) != want:
-            return None
-        groups, links = align(a, b, list(map(len, x)), list(map(len, y)))
-        text = ";".join([f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:n]))}" for i, k, j, n in groups])
-        return len(a), len(b), len(groups), len(links), text, np.array([a[i] << 32 | b[j] for i, j in links], np.int64)
-
-    def learn(self, distinct: list[str]) -> list[tuple | None]:
-        """Entries of distinct chunks; those used last are kept."""
-        if len(self.young) > MEMO_ENTRIES:
-            self.young, self.old = {}, self.young
-        new = []
-        for chunk in distinct:
-            if chunk not in self.young:
-                if chunk in self.old:
-                    self.young[chunk] = self.old[chunk]
-                else:
-                    new.append(chunk)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for chunk, (a, b) in zip(part, self.ids(part)):
-                self.young[chunk] = self.entry(chunk, a, b)
-        return [self.young[c] for c in distinct]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.numbers = np.zeros((1024, 4), np.int32)  # COUNTS of each entry; -1 where its ids do not spell it
+        self.strings: list[str] = []
+        self.links, self.link_ends = np.zeros(4096, np.int64), np.zeros(1024, np.int64)
+
+    def ids_a(self, parts: list[str]) -> list[list[int]]:
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        latin = [_LATIN.fullmatch(c) is not None and not c[-1].isspace() for c in parts]
+        joined = np.array(self.ranks.encode_ordinary("".join([c for c, x in zip(parts, latin) if x])), np.int64)
+        ends = np.cumsum([len(c.encode()) for c, x in zip(parts, latin) if x])
+        stops = np.searchsorted(np.cumsum(self.a_sizes[joined]), ends, side="left") + 1
+        joined = joined.tolist()
+        ids = iter([joined[x:y] for x, y in pairwise(chain((0,), stops.tolist()))])
+        others = iter(self.a.encode_batch_fast([c for c, x in zip(parts, latin) if not x], add_special_tokens=False))
+        return [next(ids) if x else next(others).ids for x in latin]
+
+    def ids_b(self, parts: list[str]) -> list[list[int]]:
+        """B puts a blank in front: it is the chunk's own, or must go again."""
+        ids = self.b.encode([c[1:] if c[0] == " " else c for c in parts], num_threads=1)
+        return [[self.space] if c == " " else x if c[0] == " " else x[1:] for c, x in zip(parts, ids)]
+
+    def spelt(self, chunk: str, a, b) -> bool:
+        want = chunk.encode()
+        return b"".join([self.a_bytes[i] for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
+
+    def learn(self, keys: list[str]) -> np.ndarray:
+        """Numbers of the entries of distinct keys."""
+        if len(self.known) + len(keys) > MEMO_ENTRIES:
+            self.forget()
+        new = [k for k in keys if k not in self.known]
+        for at in range(0, len(new), LEARNT):
+            self._add(new[at : at + LEARNT])
+        return np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+
+    def _add(self, keys: list[str]) -> None:
+        parts = [chunk_of(k) for k in keys]
+        a, b = self.ids_a(parts), self.ids_b(parts)
+        good = np.fromiter(map(self.spelt, parts, a, b), bool, len(parts))
+        numbers, strings, links, n_links = self._aligned([x for x, g in zip(a, good) if g], [x for x, g in zip(b, good) if g])
+        first, n = len(self.strings), len(parts)
+        self.known.update(zip(keys, range(first, first + n)))
+        while first + n > len(self.numbers):
+            self.numbers = np.concatenate((self.numbers, np.zeros_like(self.numbers)))
+            self.link_ends = np.concatenate((self.link_ends, np.zeros_like(self.link_ends)))
+        self.numbers[first : first + n] = -1
+        self.numbers[first : first + n][good] = numbers
+        given = iter(strings)
+        self.strings += [next(given) if g else "" for g in good]
+        each = np.zeros(n, np.int64)
+        each[good] = n_links
+        before = self.link_ends[first - 1] if first else 0
+        self.link_ends[first : first + n] = before + np.cumsum(each)
+        while before + len(links) > len(self.links):
+            self.links = np.concatenate((self.links, np.zeros_like(self.links)))
+        self.links[before : before + len(links)] = links
+
+    def _aligned(self, a: list, b: list) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """COUNTS, groups and links of chunks whose ids spell them, all end to end as one stretch of bytes."""
+        n = len(a)
+        if not n:
+            return np.zeros((0, 4), np.int32), [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        stops = a_ends[np.cumsum(n_a) - 1]
+        common, a_to, b_to = common_ends(a_ends.tolist(), b_ends.tolist())
+        i, j = linked(a_ends, b_ends, a_to, b_to)
+        n_groups = np.bincount(np.searchsorted(stops, common), minlength=n)
+        n_links = np.bincount(np.searchsorted(stops, a_ends[i]), minlength=n)
+        # text: tokens by group, A before B; the sign behind each
+        group_a, group_b = np.searchsorted(a_to, np.arange(len(a)), side="right"), np.searchsorted(b_to, np.arange(len(b)), side="right")
+        place_a = np.arange(len(a)) + np.concatenate(([0], b_to))[group_a]
+        place_b = np.arange(len(b)) + a_to[group_b]
+        ids, sign = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        sign[place_a[a_to - 1]] = ord("|")
+        sign[place_b[b_to - 1]] = np.where(np.isin(common, stops), ord("\n"), ord(";"))
+        cells, width = self.digits[ids], self.n_digits[ids]
+        cells[np.arange(len(ids)), width] = sign
+        strings = cells[np.arange(cells.shape[1]) <= width[:, None]].tobytes().decode().split("\n")[:-1]
+        return np.stack([n_a, n_b, n_groups, n_links], axis=1).astype(np.int32), strings, a[i] << 32 | b[j], n_links
 
 
 @lru_cache(maxsize=1)
@@ -144,51 +250,48 @@ def _aligner(a_path: str, b_path: str) -> Aligner:
 class _Batch:
     """Texts as numbers of distinct chunks, and the entries of these."""
 
-    def __init__(self, aligner: Aligner, texts: list[bytes]) -> None:
-        parts = [chunks(t.decode()) if t else [] for t in texts]
-        coded = pa.array([c for part in parts for c in part], pa.string()).dictionary_encode()
+    def __init__(self, aligner: Aligner, texts: pa.Array) -> None:
+        sizes, keys = keyed(texts)
+        coded = keys.dictionary_encode()
         entries = aligner.learn(coded.dictionary.to_pylist())
-        self.ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-        self.codes = coded.indices.to_numpy().astype(np.int64)
+        self.codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ends = np.cumsum(sizes)
+        self.numbers = aligner.numbers[entries].astype(np.int64)
+        self.strings = list(map(aligner.strings.__getitem__, entries.tolist()))
         # a text with a chunk that is not spelt has no tokens
-        broken = np.fromiter((e is None for e in entries), bool, len(entries))
+        broken = self.numbers[:, 0] < 0
         if broken.any():
             bad = self.sums(broken.astype(np.int64)) > 0
-            sizes = np.diff(self.ends, prepend=0)
+            self.numbers[broken] = 0
             self.codes = self.codes[~np.repeat(bad, sizes)]
             self.ends = np.cumsum(np.where(bad, 0, sizes))
-        self.entries = [(0, 0, 0, 0, "", np.zeros(0, np.int64)) if e is None else e for e in entries]
+        n_links = self.numbers[:, 3]
+        self.link_ends = np.cumsum(n_links)
+        within = np.arange(n_links.sum()) - np.repeat(self.link_ends - n_links, n_links)
+        self.links = aligner.links[np.repeat(aligner.link_ends[entries] - n_links, n_links) + within]
 
     def sums(self, of_entry: np.ndarray) -> np.ndarray:
         """Sum over each text of a value that its chunks have."""
         total = np.concatenate(([0], np.cumsum(of_entry[self.codes])))
         return np.diff(total[self.ends], prepend=0)
 
-    def column(self, k: int) -> np.ndarray:
-        return np.fromiter((e[k] for e in self.entries), np.int64, len(self.entries))
-
     def groups(self) -> list[str]:
-        strings = [e[4] for e in self.entries]
-        return [";".join(map(strings.__getitem__, self.codes[a:b].tolist())) for a, b in pairwise(chain((0,), self.ends.tolist()))]
-
-    def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """The entries' links end to end, and where each entry's end."""
-        return np.concatenate([e[5] for e in self.entries] or [np.zeros(0, np.int64)]), np.cumsum(self.column(3))
+        return [";".join(map(self.strings.__getitem__, self.codes[a:b].tolist())) for a, b in pairwise(chain((0,), self.ends.tolist()))]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, id pair and links of each pair that a text holds."""
-        n = len(self.entries)
+        n = max(1, len(self.numbers))
         doc = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
-        held, times = np.unique(doc * max(1, n) + self.codes, return_counts=True)
-        doc, code = held // max(1, n), held % max(1, n)
-        links, ends = self.links()
-        known, links = np.unique(links, return_inverse=True)
-        sizes = np.diff(ends, prepend=0)[code]
+        held, times = np.unique(doc * n + self.codes, return_counts=True)
+        doc, code = held // n, held % n
+        known, links = np.unique(self.links, return_inverse=True)
+        sizes = self.numbers[code, 3]
         within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        pair = links[np.repeat((ends - np.diff(ends, prepend=0))[code], sizes) + within]
-        keyed, at = np.unique(np.repeat(doc, sizes) * max(1, len(known)) + pair, return_inverse=True)
-        n_links = np.bincount(at, np.repeat(times, sizes), len(keyed)).astype(np.int64)
-        return keyed // max(1, len(known)), known[keyed % max(1, len(known))], n_links
+        pair = links[np.repeat(self.link_ends[code] - sizes, sizes) + within]
+        width = max(1, len(known))
+        keyed_, at = np.unique(np.repeat(doc, sizes) * width + pair, return_inverse=True)
+        n_links = np.bincount(at, np.repeat(times, sizes), len(keyed_)).astype(np.int64)
+        return keyed_ // width, known[keyed_ % width] if len(known) else known, n_links
 
 
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -203,8 +306,8 @@ def _counter(a_path: str, b_path: str):
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x[0]) for x in (pairs, counts)], ["pair", "n_docs"])
 
-        for batch in by_bytes(batches, 1):
-            pair, n = _summed([(p := _Batch(aligner, raw(batch.column(1))).pairs())[1]], [np.ones(len(p[1]))])
+        for batch in by_bytes(batches, 1, PIECE):
+            pair, n = _summed([(p := _Batch(aligner, _strings(batch)).pairs())[1]], [np.ones(len(p[1]))])
             pairs.append(pair)
             counts.append(n)
             if sum(map(len, pairs)) > 2 * HELD_PAIRS:
@@ -218,6 +321,10 @@ def _counter(a_path: str, b_path: str):
     return run
 
 
+def _strings(batch: pa.RecordBatch) -> pa.Array:
+    return pc.fill_null(batch.column(1), b"").cast(pa.string())
+
+
 def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
@@ -246,9 +353,9 @@ def _described(a_path: str, b_path: str, known):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a_path, b_path)
-        for batch in by_bytes(batches, 1):
-            held = _Batch(aligner, raw(batch.column(1)))
-            columns = [batch.column(0), *(pa.array(held.sums(held.column(k))) for k in range(4)), pa.array(held.groups(), pa.string())]
+        for batch in by_bytes(batches, 1, PIECE):
+            held = _Batch(aligner, _strings(batch))
+            columns = [batch.column(0), *(pa.array(held.sums(held.numbers[:, k])) for k in range(4)), pa.array(held.groups(), pa.string())]
             names = ["doc_id", *COUNTS, "groups"]
             if known is None:
                 doc, pair, n = held.pairs()
@@ -257,11 +364,10 @@ def _described(a_path: str, b_path: str, known):
                 names += ["pairs", "times"]
             else:
                 pairs, counts = known.value
-                links, ends = held.links()
-                n = counts[np.searchsorted(pairs, links)] if len(links) else links
+                n = counts[np.searchsorted(pairs, held.links)] if len(held.links) else held.links
                 for value in (n & 1, n >> 1):
                     total = np.concatenate(([0], np.cumsum(value)))
-                    columns.append(pa.array(held.sums(np.diff(total[ends], prepend=0))))
+                    columns.append(pa.array(held.sums(np.diff(total[held.link_ends], prepend=0))))
                 names += ["n_best", "count_sum"]
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -107,13 +108,28 @@ def test_equals_whole_texts(docs, texts, limit):
 
 def test_small_memory_of_chunks(docs, texts, monkeypatch):
     aligner = token_alignment.Aligner(A, B)
+    assert aligner.ranks is not None
     monkeypatch.setattr(token_alignment, "MEMO_ENTRIES", 5)
+    monkeypatch.setattr(token_alignment, "LEARNT", 7)
     want = plain(texts)[0]
     for at in range(0, len(texts), 3):
-        part = [(t or "").encode() for t in texts[at : at + 3]]
-        batch = token_alignment._Batch(aligner, part)
+        batch = token_alignment._Batch(aligner, pa.array([t or "" for t in texts[at : at + 3]], pa.string()))
         assert batch.groups() == [w[4] for w in want[at : at + 3]]
-    assert len(aligner.young) + len(aligner.old) < 2000
+    assert len(aligner.known) < 500
+    aligner.ranks = None
+    aligner.forget()
+    assert token_alignment._Batch(aligner, pa.array([t or "" for t in texts], pa.string())).groups() == [w[4] for w in want]
+
+
+def test_ranks_give_the_ids_of_the_file():
+    """Chunks that go through the ranks: random signs of the range for which they are used."""
+    aligner, rng = token_alignment.Aligner(A, B), random.Random(8)
+    signs = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250))]
+    parts = [rng.choice(" \n") + "".join(rng.choices(signs if i % 2 else signs[:94], k=rng.randrange(1, 25))) for i in range(20_000)]
+    parts += [f"{c}{x}" for c in " \n" for x in ("don't", "we're", "'ll", "''s", "a'b", "x" * 500, "12ab", "ab12", "-" * 70)]
+    parts = list(dict.fromkeys(parts))
+    assert [list(x) for x in aligner.ids_a(parts)] == [e.ids for e in aligner.a.encode_batch_fast(parts, add_special_tokens=False)]
+    assert all(token_alignment.chunk_of(token_alignment.key_of(c)) == c for c in [*parts, " ", "  ", " \n", "\n", "\n\n", "  x", " \nx", "  \nx", " \x00", " \x00b"])
 
 
 def test_chunks_are_the_text(texts):
