@@ -35,7 +35,7 @@ from lexigrid.llm.common import stored
 from lexigrid.llm.windows import by_bytes
 
 #: Aligned chunks that a worker keeps before it starts anew, at some 300 bytes, and chunks that are aligned at once.
-MEMO_ENTRIES, LEARNT = 400_000, 8192
+MEMO_ENTRIES, LEARNT = 600_000, 8192
 #: Bytes of text that are aligned at once, about.
 PIECE = 2 << 20
 #: Distinct pairs that a worker sums up before it hands them on.
@@ -162,26 +162,41 @@ class Aligner:
         self.strings: list[str] = []
         self.links, self.link_ends = np.zeros(4096, np.int64), np.zeros(1024, np.int64)
 
-    def ids_a(self, parts: list[str]) -> list[list[int]]:
-        if self.ranks is None:
-            return [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        latin = [_LATIN.fullmatch(c) is not None and not c[-1].isspace() for c in parts]
-        joined = np.array(self.ranks.encode_ordinary("".join([c for c, x in zip(parts, latin) if x])), np.int64)
-        ends = np.cumsum([len(c.encode()) for c, x in zip(parts, latin) if x])
-        stops = np.searchsorted(np.cumsum(self.a_sizes[joined]), ends, side="left") + 1
-        joined = joined.tolist()
-        ids = iter([joined[x:y] for x, y in pairwise(chain((0,), stops.tolist()))])
-        others = iter(self.a.encode_batch_fast([c for c, x in zip(parts, latin) if not x], add_special_tokens=False))
-        return [next(ids) if x else next(others).ids for x in latin]
-
-    def ids_b(self, parts: list[str]) -> list[list[int]]:
-        """B puts a blank in front: it is the chunk's own, or must go again."""
+    def ids_a(self, parts: list[str], stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A end to end, and of how many chunks each is; stops: bytes up to each chunk's end."""
+        if self.ranks is not None and _LATIN.fullmatch(joined := "".join(parts)) and not any(map(str.isspace, parts)):
+            ids = np.array(self.ranks.encode_ordinary(joined), np.int64)
+            return ids, np.diff(np.searchsorted(np.cumsum(self.a_sizes[ids]), stops, side="left") + 1, prepend=0)
+        if self.ranks is not None and len(parts) > 64:  # the few chunks with other letters are found by halves
+            half = len(parts) // 2
+            left = self.ids_a(parts[:half], stops[:half])
+            right = self.ids_a(parts[half:], stops[half:] - stops[half - 1])
+            return tuple(np.concatenate(x) for x in zip(left, right))
+        ids = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def ids_b(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of B, likewise. B puts a blank in front: it is the chunk's own, or must go again."""
         ids = self.b.encode([c[1:] if c[0] == " " else c for c in parts], num_threads=1)
-        return [[self.space] if c == " " else x if c[0] == " " else x[1:] for c, x in zip(parts, ids)]
-
-    def spelt(self, chunk: str, a, b) -> bool:
-        want = chunk.encode()
-        return b"".join([self.a_bytes[i] for i in a]) == want and b"".join([self.b_bytes[i] for i in b]) == want
+        for i, c in enumerate(parts):
+            if c[0] != " ":
+                del ids[i][:1]
+            elif c == " ":
+                ids[i] = [self.space]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _spelt(self, whole: bytes, stops: np.ndarray, ids: np.ndarray, counts: np.ndarray, token_bytes: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Which chunks the ids spell; chunks end at stops."""
+        firsts = np.concatenate(([0], stops[:-1]))
+        ends = np.concatenate(([0], np.cumsum(sizes[ids])))
+        to = np.cumsum(counts)
+        good = (ends[to] - ends[to - counts]) == stops - firsts
+        pieces = [token_bytes[i] for i in ids.tolist()]
+        if good.all() and b"".join(pieces) == whole:
+            return good
+        for i, (a, b, x, y) in enumerate(zip(firsts.tolist(), stops.tolist(), (to - counts).tolist(), to.tolist())):
+            good[i] = b"".join(pieces[x:y]) == whole[a:b]
+        return good
 
     def learn(self, keys: list[str]) -> np.ndarray:
         """Numbers of the entries of distinct keys."""
@@ -194,9 +209,11 @@ class Aligner:
 
     def _add(self, keys: list[str]) -> None:
         parts = [chunk_of(k) for k in keys]
-        a, b = self.ids_a(parts), self.ids_b(parts)
-        good = np.fromiter(map(self.spelt, parts, a, b), bool, len(parts))
-        numbers, strings, links, n_links = self._aligned([x for x, g in zip(a, good) if g], [x for x, g in zip(b, good) if g])
+        whole = "".join(parts).encode()
+        stops = np.cumsum(pc.binary_length(pa.array(parts, pa.string())).to_numpy().astype(np.int64))
+        (a, n_a), (b, n_b) = self.ids_a(parts, stops), self.ids_b(parts)
+        good = self._spelt(whole, stops, a, n_a, self.a_bytes, self.a_sizes) & self._spelt(whole, stops, b, n_b, self.b_bytes, self.b_sizes)
+        numbers, strings, links, n_links = self._aligned(a[np.repeat(good, n_a)], n_a[good], b[np.repeat(good, n_b)], n_b[good])
         first, n = len(self.strings), len(parts)
         self.known.update(zip(keys, range(first, first + n)))
         while first + n > len(self.numbers):
@@ -214,13 +231,11 @@ class Aligner:
             self.links = np.concatenate((self.links, np.zeros_like(self.links)))
         self.links[before : before + len(links)] = links
 
-    def _aligned(self, a: list, b: list) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    def _aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """COUNTS, groups and links of chunks whose ids spell them, all end to end as one stretch of bytes."""
-        n = len(a)
+        n = len(n_a)
         if not n:
             return np.zeros((0, 4), np.int32), [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (a, b))
-        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         stops = a_ends[np.cumsum(n_a) - 1]
         common, a_to, b_to = common_ends(a_ends.tolist(), b_ends.tolist())
