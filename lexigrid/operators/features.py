@@ -25,7 +25,7 @@ DRIVER_TERMS = 1_000_000
 # --- sparse vectors: row-local, no shuffle --------------------------------
 
 
-def _bound(value: float, below: float) -> float | int:
+def bound(value: float, below: float) -> float | int:
     """A share of the documents stays a float, a number of documents becomes an int."""
     return value if value < below else int(value)
 
@@ -86,8 +86,8 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
         return fit_vocabulary(
             dataset,
             self._grams(),
-            _bound(self.getOrDefault("minDF"), below=1.0),
-            _bound(self.getOrDefault("maxDF"), below=1.0 + 1e-12),
+            bound(self.getOrDefault("minDF"), below=1.0),
+            bound(self.getOrDefault("maxDF"), below=1.0 + 1e-12),
             self.getOrDefault("maxFeatures") or None,
         )
 

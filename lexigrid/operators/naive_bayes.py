@@ -72,6 +72,12 @@ def _score_udf(weights: np.ndarray, n_labels: int):
     return score
 
 
+def score_vectors(rows: DataFrame, weights: np.ndarray, out: str, features: str = "features") -> DataFrame:
+    """Add the class probabilities of count vectors under one model's classes x terms weights."""
+    raw = F.unwrap_udt(features)
+    return rows.withColumn(out, _score_udf(np.ascontiguousarray(weights.T), len(weights))(raw["indices"], raw["values"]))
+
+
 def predict_models(
     rows: DataFrame, models: dict[str, np.ndarray], labels: list[str],
     features: str = "features", label: str = "label", keep: tuple[str, ...] = ("doc_id",),

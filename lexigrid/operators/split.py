@@ -21,7 +21,7 @@ LABELS_ON_DRIVER = 100_000
 
 
 def order_key(row_id: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id.cast("string"), F.lit(""))))
 
 
 def hex_digits(n_rows: int) -> int:
@@ -93,10 +93,11 @@ def holdout(
 
 def _id_bucket(df: DataFrame, row_id: str, buckets: int) -> DataFrame:
     """Bucket ids by approximate quantiles; only the order of the buckets matters."""
-    as_double = df.withColumn("_d", F.col(row_id).cast("double"))
+    low = -float("inf")  # rows without an id come first
+    as_double = df.withColumn("_d", F.coalesce(F.col(row_id).cast("double"), F.lit(low)))
     probs = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(as_double.approxQuantile("_d", probs, 0.25 / buckets)))
-    splits = [-float("inf"), *inner, float("inf")]
+    inner = sorted(set(as_double.approxQuantile("_d", probs, 0.25 / buckets)) - {low})
+    splits = [low, *inner, float("inf")]
     placed = Bucketizer(splits=splits, inputCol="_d", outputCol="_b").transform(as_double)
     return placed.withColumn("_b", F.col("_b").cast("int")).drop("_d")
 
@@ -107,7 +108,7 @@ def kfold(df: DataFrame, k: int, seed: int | None = 42, label: str = "label", ro
     ``seed=None`` keeps the order of the ids.  Only ids and labels are ranked, inside (class,
     bucket), and the sizes of the buckets before are added, so no task holds a whole class and
     no text takes part in the ranking; the folds are then joined to the rows. Rows of equal id
-    and label share a fold.
+    and label share a fold, and so do rows of a label that have no id.
     """
     if k < 2:
         raise ValueError("k-fold cross-validation needs at least 2 folds")
@@ -133,7 +134,7 @@ def kfold(df: DataFrame, k: int, seed: int | None = 42, label: str = "label", ro
         "_id", "_g", ((F.col("_start") + F.col("_r")) % k).cast("int").alias("fold")
     )
     own = F.coalesce(F.col(label).cast("string"), F.lit("\0"))
-    return df.join(folds, (F.col(row_id) == F.col("_id")) & (own == F.col("_g"))).select(*[df[c] for c in df.columns], "fold")
+    return df.join(folds, F.col(row_id).eqNullSafe(F.col("_id")) & (own == F.col("_g"))).select(*[df[c] for c in df.columns], "fold")
 
 
 def first_rows(df: DataFrame, n: int, row_id: str = "doc_id") -> DataFrame:

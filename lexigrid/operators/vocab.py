@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.session import cut
+from lexigrid.operators.term_counts import count_documents, heavy_terms, partial_counts, summed
+from lexigrid.session import cut, keep
 
 # Rows a single task may merge when the top terms of all partitions meet.
 TOP_MERGE_ROWS = 20_000_000
@@ -14,24 +17,10 @@ TOP_MERGE_ROWS = 20_000_000
 def term_stats(corpus: DataFrame, grams: Column) -> DataFrame:
     """``(term, df, cf)``: documents with the term and occurrences of the term.
 
-    Each document emits its terms once for ``cf`` and its distinct terms once for ``df``,
-    so the only shuffle is on the term, after a map-side sum per partition; a frequent
-    term costs one row per partition, not one per document.
+    Terms are counted inside the row and added up inside an Arrow batch, so a frequent term is
+    shuffled once for each batch and a rare one once for each document.
     """
-    per_doc = corpus.select(grams.alias("g"))
-    tagged = per_doc.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("g").alias("terms"), F.lit(1).alias("c"), F.lit(0).alias("d")),
-                F.struct(F.array_distinct("g").alias("terms"), F.lit(0).alias("c"), F.lit(1).alias("d")),
-            )
-        )
-    )
-    return (
-        tagged.select(F.explode("terms").alias("term"), "c", "d")
-        .groupBy("term")
-        .agg(F.sum("d").alias("df"), F.sum("c").alias("cf"))
-    )
+    return summed(partial_counts(corpus.select(grams.alias("terms"))))
 
 
 def frequency_cut(stats: DataFrame, n_docs: int, min_df: int | float = 1, max_df: int | float = 1.0) -> DataFrame:
@@ -91,6 +80,19 @@ def alphabetical_index(terms: DataFrame, bounded: bool) -> DataFrame:
     )
 
 
+def least_documents(n_docs: int, min_df: int | float) -> int:
+    """Documents that a term needs; its occurrences are as many at least."""
+    return max(1, math.ceil(min_df * n_docs) if isinstance(min_df, float) else min_df)
+
+
+def top_of(counts: DataFrame, n_docs: int, min_df: int | float, max_df: int | float, max_features: int) -> DataFrame:
+    """The most frequent terms within the frequency bounds, from partial counts; the tail of rare terms is not shuffled."""
+    low = least_documents(n_docs, min_df)
+    return heavy_terms(
+        counts, max_features, lambda rows: top_terms(frequency_cut(summed(rows), n_docs, min_df, max_df), max_features), low
+    )
+
+
 def fit_vocabulary(
     corpus: DataFrame,
     grams: Column,
@@ -100,14 +102,16 @@ def fit_vocabulary(
     n_docs: int | None = None,
 ) -> DataFrame:
     """``(term, idx, df, cf, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``."""
-    if n_docs is None:
-        n_docs = corpus.count()
-    stats = frequency_cut(term_stats(corpus, grams), n_docs, min_df, max_df)
-    if max_features is not None:
-        partitions = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if partitions * max_features > TOP_MERGE_ROWS:
-            stats = cut(stats)  # read by the histogram and by the order
-        stats = top_terms(stats, max_features)
+    if max_features is None:
+        if n_docs is None:
+            n_docs = corpus.count()
+        stats = frequency_cut(term_stats(corpus, grams), n_docs, min_df, max_df)
+    else:
+        counts = keep(partial_counts(corpus.select(grams.alias("terms"))))
+        if n_docs is None:
+            n_docs = count_documents(counts)
+        stats = top_of(counts, n_docs, min_df, max_df, max_features)
+        counts.unpersist()
     indexed = alphabetical_index(stats, bounded=max_features is not None)
     return indexed.select(
         "term",

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import time
 import traceback
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StopWordsRemover
@@ -17,10 +18,13 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigrid.functions.text import analyze
 from lexigrid.operators import diversity, ensemble, metrics, profile, split
 from lexigrid.operators.classifiers import fit_classifier
 from lexigrid.operators.embed import encode_texts, fit_word_vectors
-from lexigrid.operators.features import NgramVectorizer
+from lexigrid.operators.features import DRIVER_TERMS, NgramVectorizer, bound
+from lexigrid.operators.folds import FoldStatistics, complement_nb_from, counted_vectors
+from lexigrid.operators.term_counts import counted_documents
 from lexigrid.session import keep, pack, run_parallel
 from lexigrid.sources.cache import StudyStore, params_hash
 from lexigrid.sources.sinks import selection_document, write_json, write_predictions
@@ -69,14 +73,18 @@ def _stop_words(asked: list[str] | str | None) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords(asked) if isinstance(asked, str) else list(asked or ())
 
 
+def _check_params(spec: Component, kind: str) -> None:
+    if unknown := sorted(set(spec.params) - VECTORIZER_PARAMS[kind]):
+        raise ValueError(f"{spec.kind} has no parameter {', '.join(unknown)}")
+
+
 def fit_vectorizer(spec: Component, train: DataFrame):
     """Fit on the given rows only; the result maps a corpus to ``features``."""
     kind = VECTORIZER_KINDS.get(spec.kind, spec.kind)
     if kind not in VECTORIZER_PARAMS:
         raise ValueError(f"unknown vectorizer {spec.kind!r}")
+    _check_params(spec, kind)
     p = spec.params
-    if unknown := sorted(set(p) - VECTORIZER_PARAMS[kind]):
-        raise ValueError(f"{spec.kind} has no parameter {', '.join(unknown)}")
     if kind in ("tfidf", "count"):
         return NgramVectorizer(
             analyzer=p.get("analyzer", "word"), ngramRange=list(p.get("ngram_range", (1, 1))),
@@ -100,26 +108,30 @@ class FailedCombination(RuntimeError):
 def _run_combos(
     train: DataFrame, test: DataFrame, split_id: str, vec: Component, classifiers: list[Component],
     labels: list[str], store: StudyStore, scope: DataFrame, parallelism: int, suffix: dict, on_error: str = "raise",
-    names: dict[str, str] | None = None,
+    names: dict[str, str] | None = None, fitted_by: Callable | None = None, closed: dict[str, Callable] | None = None,
 ) -> list[dict]:
     """All classifiers on one vectorizer; stored combinations are not trained again.
 
     A combination that fails ends the study, or is recorded with its error's type, message and
     traceback if ``on_error`` is ``record``. ``names`` gives models other names than
-    ``vectorizer+classifier``.
+    ``vectorizer+classifier``. ``fitted_by`` gives the vectorizer's transformation in place of a fit on
+    ``scope``; ``closed`` gives fits by classifier kind that need no training vectors.
     """
+    closed = closed or {}
     vec_key = params_hash(vec.kind, vec.params, suffix)
     full = {c.name: (names or {}).get(c.name) or f"{vec.name}+{c.name}" for c in classifiers}
     keys = {c.name: params_hash(vec.kind, vec.params, c.kind, c.params, labels, suffix, full[c.name]) for c in classifiers}
     todo = [c for c in classifiers if not store.has(store.predictions_path(split_id, keys[c.name]))]
     times = {"vectorizer_fit_time": None, "train_transform_time": None, "test_transform_time": None}
     if todo:
-        cached = all(store.has(f"features/split_id={split_id}/vectorizer={vec_key}/part={p}") for p in ("train", "test"))
+        vectors_of_train = any(CLASSIFIER_KINDS.get(c.kind, c.kind) not in closed for c in todo)
+        parts = ("train", "test") if vectors_of_train else ("test",)
+        cached = all(store.has(f"features/split_id={split_id}/vectorizer={vec_key}/part={p}") for p in parts)
         started = time.perf_counter()
-        transform = None if cached else fit_vectorizer(vec, scope)
+        transform = None if cached else fitted_by() if fitted_by else fit_vectorizer(vec, scope)
         fitted = time.perf_counter()
         cols = ("doc_id", "label", "features")
-        x_train = store.features(split_id, vec.name, vec_key, "train", lambda: transform(train).select(*cols))
+        x_train = store.features(split_id, vec.name, vec_key, "train", lambda: transform(train).select(*cols)) if vectors_of_train else None
         trained = time.perf_counter()
         x_test = store.features(split_id, vec.name, vec_key, "test", lambda: transform(test).select(*cols))
         if not cached:
@@ -136,7 +148,8 @@ def _run_combos(
             return row
         started = time.perf_counter()
         try:
-            fitted = fit_classifier(CLASSIFIER_KINDS.get(c.kind, c.kind), x_train, c.params)
+            kind = CLASSIFIER_KINDS.get(c.kind, c.kind)
+            fitted = closed[kind](**c.params) if kind in closed else fit_classifier(kind, x_train, c.params)
             row["classifier_fit_time"] = time.perf_counter() - started
             out = fitted.predict(x_test, labels).select(
                 "doc_id", F.lit(row["model"]).alias("model"), F.col("label").alias("y_true"), "y_pred", "proba",
@@ -214,25 +227,91 @@ def cv_study(
     """Evaluate the grid by stratified k-fold; the vectorizer is refitted on each fold's
     training part once and shared by all classifiers.
 
-    The corpus is written once, partitioned by fold, so that every fold afterwards is a choice
-    of folders: no text is shuffled again.
+    N-gram vectorizers of one analyzer read the texts once, for all folds together: terms are counted by
+    document and stored, and each fold's vocabulary and naive Bayes model is that of the whole corpus
+    minus the fold (see ``operators/folds.py``). For other vectorizers the corpus is written once,
+    partitioned by fold, so that a fold is a choice of folders.
     """
     store = store or StudyStore(corpus.sparkSession)
     folds = split.kfold(corpus.select("doc_id", "label"), k, seed)
     split_id = params_hash(split.split_fingerprint(folds.withColumn("part", F.col("fold").cast("string"))).first()["split_id"], k, seed)
-    folds = store.table(f"folds/split_id={split_id}", lambda: folds.select("doc_id", "fold"))
-    path = f"corpus/split_id={split_id}"
-    if not store.has(path):
-        tagged = corpus.select("doc_id", "text", "label").join(folds, "doc_id")
-        tagged.write.mode("overwrite").partitionBy("fold").parquet(f"{store.root}/{path}")
-    folded = store.spark.read.parquet(f"{store.root}/{path}")
+    rows = folds.select(F.col("doc_id").alias("_id"), F.col("label").alias("_label"), "fold").distinct()
+    rows = store.table(f"folds/split_id={split_id}", lambda: rows)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("label").eqNullSafe(F.col("_label"))
+    tagged = corpus.select("doc_id", "text", "label").join(rows, same).drop("_id", "_label")
     labels = labels_of(corpus)
-    runs = []
+    runs = {}
+    by_analyzer: dict[str, list[Component]] = {}
     for vec in vectorizers:
+        kind = VECTORIZER_KINDS.get(vec.kind, vec.kind)
+        by_analyzer.setdefault(params_hash(_analyzer_of(vec)) if kind in ("tfidf", "count") else "", []).append(vec)
+    for key, group in by_analyzer.items():
+        if key:
+            runs |= _counted_folds(tagged, group, key, classifiers, k, split_id, labels, store, parallelism, on_error)
+            continue
+        path = f"corpus/split_id={split_id}"
+        if not store.has(path):
+            tagged.write.mode("overwrite").partitionBy("fold").parquet(f"{store.root}/{path}")
+        folded = store.spark.read.parquet(f"{store.root}/{path}")
+        for vec in group:
+            runs[vec] = []
+            for fold in range(k):
+                train, test = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+                runs[vec] += _run_combos(train, test, split_id, vec, classifiers, labels, store, train, parallelism, {"fold": fold}, on_error)
+    return _collect([r for vec in vectorizers for r in runs[vec]], store, split_id, labels)
+
+
+def _analyzer_of(vec: Component) -> dict:
+    """The parameters of an n-gram vectorizer that decide its features, whatever the vocabulary."""
+    _check_params(vec, "tfidf")
+    p = vec.params
+    return {
+        "analyzer": p.get("analyzer", "word"), "ngram_range": list(p.get("ngram_range", (1, 1))),
+        "strip": bool(p.get("strip_accents")), "stop_words": _stop_words(p.get("stop_words")),
+    }
+
+
+def _counted_folds(
+    tagged: DataFrame, vectorizers: list[Component], key: str, classifiers: list[Component], k: int, split_id: str,
+    labels: list[str], store: StudyStore, parallelism: int, on_error: str,
+) -> dict[Component, list[dict]]:
+    """All folds of n-gram vectorizers with one analyzer, from one pass over the texts."""
+    a = _analyzer_of(vectorizers[0])
+    grams = analyze(F.col("text"), a["analyzer"], tuple(a["ngram_range"]), a["strip"], a["stop_words"])
+    counted = store.table(f"terms/split_id={split_id}/analyzer={key}", lambda: counted_documents(tagged, grams, "doc_id", "label", "fold"))
+    stats = FoldStatistics.of(counted)
+    out = {}
+    for vec in vectorizers:
+        p, kind = vec.params, VECTORIZER_KINDS.get(vec.kind, vec.kind)
+        low, high = float(p.get("min_df", 1)), float(p.get("max_df", 1.0))
+        bounds = {"min_df": bound(low, below=1.0), "max_df": bound(high, below=1.0 + 1e-12), "max_features": int(p.get("max_features") or 0) or None}
+        fitted: dict = {}
+
+        def vocabularies(bounds=bounds, fitted=fitted):
+            if "vocabularies" not in fitted:
+                fitted["vocabularies"] = stats.collected(DRIVER_TERMS, **bounds)
+            return fitted["vocabularies"]
+
+        def counts_of(fold, vocabularies=vocabularies, fitted=fitted):
+            if "counts" not in fitted:
+                fitted["counts"] = stats.class_counts(vocabularies())
+            return fitted["counts"][fold]
+
+        out[vec] = []
         for fold in range(k):
-            train, test = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-            runs += _run_combos(train, test, split_id, vec, classifiers, labels, store, train, parallelism, {"fold": fold}, on_error)
-    return _collect(runs, store, split_id, labels)
+            train, test = counted.filter(F.col("fold") != fold), counted.filter(F.col("fold") == fold)
+
+            def transformation(fold=fold, vocabularies=vocabularies, kind=kind):
+                vocabulary = vocabularies()[fold]
+                return lambda df: counted_vectors(df, vocabulary, kind, "doc_id", "label")
+
+            closed = {"cnb": lambda alpha=1.0, fold=fold, counts_of=counts_of: complement_nb_from(counts_of(fold), alpha)} if kind == "count" else {}
+            out[vec] += _run_combos(
+                train, test, split_id, vec, classifiers, labels, store, train, parallelism, {"fold": fold}, on_error,
+                fitted_by=transformation, closed=closed,
+            )
+    stats.close()
+    return out
 
 
 def _collect(runs: list[dict], store: StudyStore, split_id: str, labels: list[str]) -> Study:
