@@ -13,7 +13,6 @@ from inspect import signature
 
 import numpy as np
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -25,7 +24,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions.vectors import align_to_labels, argmax_index, normalise_sum, project_rows
+from lexigrid.functions.vectors import align_to_labels, argmax_index, normalise_sum, project_rows, vector_cells
+from lexigrid.operators.boosting import Settings, boost
 from lexigrid.operators.features import feature_variance
 from lexigrid.operators.profile import with_class_weight
 from lexigrid.session import keep, pack, run_parallel
@@ -181,17 +181,14 @@ def perceptron(train: DataFrame, hidden: tuple[int, ...] = (128, 64), max_iter:
 
 
 def boosted_trees(train: DataFrame, n_estimators: int = 300, max_depth: int = 6, learning_rate: float = 0.1,
-                  subsample: float = 0.8, colsample: float = 0.8, seed: int = 42) -> Fitted:
-    """Gradient-boosted trees per class; the logistic loss has margin 2 * raw."""
-    return _one_vs_rest(
-        train,
-        lambda: GBTClassifier(
-            labelCol="_y", maxIter=n_estimators, maxDepth=tree_depth(max_depth), stepSize=learning_rate,
-            subsamplingRate=subsample, featureSubsetStrategy=str(colsample) if colsample < 1 else "all",
-            seed=seed, maxMemoryInMB=512,
-        ),
-        lambda margin, j: _sigmoid(2.0 * margin),
-    )
+                  subsample: float = 0.8, colsample: float = 0.8, seed: int = 42, max_bin: int = 32) -> Fitted:
+    """Gradient boosting of the softmax loss (logistic with two classes): a tree a class and round from shared histograms."""
+    labels = training_labels(train)
+    if len(labels) < 2:
+        return Fitted(labels, lambda rows: rows.withColumn("_p", F.array(F.lit(1.0))))
+    settings = Settings(n_estimators, max_depth, learning_rate, subsample, colsample, bins=max_bin, seed=seed)
+    model = boost(_indexed(train, labels), len(labels), settings)
+    return Fitted(labels, lambda rows: rows.withColumn("_p", model.probabilities(F.col("features"))), [model])
 
 
 def linear_svc(train: DataFrame, C: float = 1.0, max_iter: int = 100, balanced: bool = True) -> Fitted:
@@ -221,8 +218,8 @@ def _platt(train: DataFrame, build) -> Fitted:
     base = _one_vs_rest(train, build, lambda margin, j: margin)
     labels, models = base.labels, base.parts
     positives = labels if len(labels) > 2 else labels[1:]
-    folded = train.withColumn("_fold", F.pmod(F.xxhash64(F.to_json(F.struct(F.unwrap_udt("features").alias("v")))), F.lit(PLATT_FOLDS)))
-    folded = keep(folded)
+    own = F.col("doc_id") if "doc_id" in train.columns else vector_cells(F.col("features"))
+    folded = keep(train.withColumn("_fold", F.pmod(F.xxhash64(own), F.lit(PLATT_FOLDS))))
     parts = []
     for k in range(PLATT_FOLDS):
         rest, held = folded.filter(F.col("_fold") != k).drop("_fold"), folded.filter(F.col("_fold") == k).drop("_fold")
@@ -323,9 +320,9 @@ def _mlp(train: DataFrame, hidden_layer_sizes=(128, 64), max_iter: int = 200, ra
 
 def _xgb(
     train: DataFrame, n_estimators: int = 300, max_depth: int = 6, learning_rate: float = 0.1, subsample: float = 0.8,
-    colsample_bytree: float = 0.8, random_state: int = 42,
+    colsample_bytree: float = 0.8, random_state: int = 42, max_bin: int = 32,
 ) -> Fitted:
-    return boosted_trees(train, n_estimators, max_depth, learning_rate, subsample, colsample_bytree, random_state)
+    return boosted_trees(train, n_estimators, max_depth, learning_rate, subsample, colsample_bytree, random_state, max_bin)
 
 
 def _svc(train: DataFrame, C: float = 1.0, gamma: str | float = "scale", n_components: int = 256, max_iter: int = 100, random_state: int = 42) -> Fitted:

@@ -7,7 +7,7 @@ pairs); they say what a result is, not how the Spark jobs compute it.
 from __future__ import annotations
 
 from lexigrid.functions.text import STOP_PT, WORD_CHARS
-from lexigrid.plans.queries import ALL_PATTERNS, CNB_MODELS, FIRST_ROWS, QUICK_FITS, SPACES
+from lexigrid.plans.queries import ALL_PATTERNS, ALPHAS, CNB_MODELS, FIRST_ROWS, QUICK_FITS, SOFTMAX_FITS, SPACES
 
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_PT) + "]"
@@ -501,6 +501,13 @@ def statements() -> dict[str, str]:
         f"FROM parts CROSS JOIN (VALUES {families}) AS f(family) WHERE part = 'test' GROUP BY family"
     )
 
+    families = ", ".join(f"('{f}')" for f in SOFTMAX_FITS)
+    q["softmax_facts"] = (
+        _with(_docs(), *_holdout())
+        + " SELECT family, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS id_sum, true AS sums_to_one, true AS beats_majority, true AS loss_falls "
+        f"FROM parts CROSS JOIN (VALUES {families}) AS f(family) WHERE part = 'test' GROUP BY family"
+    )
+
     # selections and studies of naive Bayes models
     def recursive(*ctes: str) -> str:
         return "WITH RECURSIVE " + ",\n".join(ctes)
@@ -547,6 +554,27 @@ def statements() -> dict[str, str]:
         )
         + " SELECT model, round(avg(accuracy), 9) AS accuracy_mean, round(stddev_samp(accuracy), 9) AS accuracy_std, round(avg(macro_f1), 9) AS macro_f1_mean, round(stddev_samp(macro_f1), 9) AS macro_f1_std FROM avgs GROUP BY model"
     )
+    # the holdout is one more fold, h, whose training part is that of all others
+    points = ", ".join(f"('{i}#{f}', 'char#{f}', 100, {a})" for i, a in enumerate(ALPHAS) for f in ("0", "1", "2", "h"))
+    chars = _windows(_chars(), 3, "")
+    q["grid_search_smoothing"] = (
+        _with(
+            _docs("quality"),
+            *[c.replace("parts AS", "halves AS") for c in _holdout()],
+            _kfold(3, "md5('42:' || doc_id), doc_id", "(SELECT doc_id, text, label FROM halves WHERE part = 'train')", "label"),
+            "parts AS MATERIALIZED (SELECT doc_id, text, label, 'test' AS part FROM docs UNION ALL SELECT doc_id, text, label, 'train' FROM docs)",
+            f"models(model, kind, size, alpha) AS (VALUES {points})",
+            "runs AS MATERIALIZED (SELECT doc_id, text, label, f::VARCHAR AS run, CASE WHEN fold = f THEN 'test' ELSE 'train' END AS part FROM folded, (SELECT unnest(range(3)) AS f) "
+            "UNION ALL SELECT doc_id, text, label, 'h', part FROM halves)",
+            f"tf AS MATERIALIZED (SELECT kind, doc_id, label, part, term, count(*) AS tf FROM (SELECT 'char#' || run AS kind, doc_id, label, part, unnest({chars}) AS term FROM runs) GROUP BY ALL)",
+            *_cnb_models("models", "100"),
+            "own_fold AS (SELECT CAST(split_part(model, '#', 1) AS INTEGER) AS point, run, y_true, y_pred FROM preds JOIN runs ON runs.doc_id = preds.doc_id AND runs.part = 'test' AND split_part(model, '#', 2) = run)",
+            *_report("own_fold", "point, run"),
+            "scored_points AS (SELECT point, avg(macro_f1) FILTER (WHERE run <> 'h') AS cv, any_value(macro_f1) FILTER (WHERE run = 'h') AS held FROM avgs GROUP BY point)",
+            "placed AS (SELECT *, row_number() OVER (ORDER BY cv DESC, point) = 1 AS chosen FROM scored_points)",
+        )
+        + f" SELECT CAST([{', '.join(map(str, ALPHAS))}][point + 1] AS DOUBLE) AS alpha, round(cv, 9) AS cv_macro_f1, chosen, CASE WHEN chosen THEN round(held, 9) END AS holdout_macro_f1 FROM placed"
+    )
     voted = [
         *_model_ctes([x for x in nb if x[0].endswith("+a1")]), *rep, RANKED,
         "v AS MATERIALIZED (SELECT p.doc_id, any_value(p.y_true) AS y_true, p.label, p.li, sum(p.p / 3.0) AS v FROM proba p JOIN ranked r ON r.model = p.model AND r.rank <= 3 GROUP BY p.doc_id, p.label, p.li)",

@@ -742,6 +742,37 @@ def family_facts(spark, sf):
     )
 
 
+# Families that fit all classes at once, with settings at which their loss is followed.
+SOFTMAX_FITS = {
+    "boosted": ("xgb", {"n_estimators": 6, "max_depth": 4, "learning_rate": 0.3}),
+    "softmax": ("logreg", {"C": 10.0, "max_iter": 20, "solver": "saga", "penalty": "elasticnet", "l1_ratio": 0.2}),
+}
+
+
+@query
+def softmax_facts(spark, sf):
+    """What must hold for boosting and softmax regression over several classes: a row per test document,
+    probabilities that sum to one, a loss that falls with each round or iteration, and more documents
+    right than the majority class has."""
+    train, test = _tfidf_split(spark, sf, size=150)
+    largest = test.groupBy("label").count().agg(F.max("count")).first()[0]  # one row a class
+    out = None
+    for name, (kind, params) in SOFTMAX_FITS.items():
+        fitted = fit_classifier(kind, train, params)
+        model = fitted.parts[0]
+        losses = model.losses if name == "boosted" else list(model.summary.objectiveHistory)
+        facts = fitted.predict(test).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"),
+            F.bool_and(F.abs(F.aggregate("proba", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"),
+            (F.count_if(F.col("label") == F.col("y_pred")) > largest).alias("beats_majority"),
+        )
+        one = facts.select(
+            F.lit(name).alias("family"), "*", F.lit(all(a > b for a, b in zip(losses, losses[1:])) and len(losses) > 2).alias("loss_falls")
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def cnb_mllib(spark, sf):
     """Complement naive Bayes through Spark ML; equal to ``cnb_predict``."""
@@ -819,6 +850,16 @@ def cv_study(spark, sf):
     return _rounded(study.cv_summary(out).select("model", "accuracy_mean", "accuracy_std", "macro_f1_mean", "macro_f1_std"), ())
 
 
+# smoothing of the naive Bayes grid search
+ALPHAS = (0.05, 0.2, 0.5, 1.0, 2.0)
+
+
+@query
+def grid_search_smoothing(spark, sf):
+    """Smoothing of naive Bayes by macro-F1 over folds of the training part, refitted and scored on the rest."""
+    return _rounded(study.smoothing_search(documents(spark, sf, "quality"), study.Component(*NB_VECTORIZERS[3]), list(ALPHAS)), ("alpha",))
+
+
 def _selected(spark, preds, strategy, **limits) -> DataFrame:
     chosen, weights = study.choose_models(preds, QUALITY_LABELS, strategy, **limits)
     return _rounded(spark.createDataFrame([(i + 1, n, weights[n]) for i, n in enumerate(chosen)], "rank int, model string, weight double"), ())

@@ -374,6 +374,27 @@ def grid_search(estimator, grid: list, train: DataFrame, k: int = 3, seed: int =
     return best
 
 
+def smoothing_search(
+    corpus: DataFrame, vectorizer: Component, alphas: list[float], k: int = 3, test_size: float = 0.3, seed: int = 42,
+    store: StudyStore | None = None,
+) -> DataFrame:
+    """Grid search over the smoothing of complement naive Bayes: ``(alpha, cv_macro_f1, chosen, holdout_macro_f1)``.
+
+    All points and folds of the training part come from one pass over its texts. The point with the largest
+    mean macro-F1 over the folds (the first of equal ones) is refitted on the training part and scored on the rest.
+    """
+    store = store or StudyStore(corpus.sparkSession)
+    train = split.holdout(corpus, test_size, seed).filter("part = 'train'").drop("part")
+    points = [Component(f"alpha={a:g}", "cnb", {"alpha": float(a)}) for a in alphas]
+    folds = cv_summary(cv_study(train, [vectorizer], points, k, seed, store))
+    means = {r["model"]: r["macro_f1_mean"] for r in folds.select("model", "macro_f1_mean").collect()}  # one row a point
+    scores = [means[f"{vectorizer.name}+{p.name}"] for p in points]
+    best = scores.index(max(scores))
+    refitted = holdout_study(corpus, [vectorizer], [points[best]], test_size, seed, store=store).results().first()
+    rows = [(float(a), m, i == best, refitted["macro_f1"] if i == best else None) for i, (a, m) in enumerate(zip(alphas, scores))]
+    return corpus.sparkSession.createDataFrame(rows, "alpha double, cv_macro_f1 double, chosen boolean, holdout_macro_f1 double")
+
+
 # --- ensembles ------------------------------------------------------------
 
 
