@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -65,6 +66,16 @@ def n_words(text: Column) -> Column:
     return F.when(inner == "", 0).otherwise(F.size(F.split(inner, SPACE_CLASS))).cast("long")
 
 
+_OTHER_SPACE = re.compile(r"[^\S \n]|\x00")
+
+
+def is_plain(text: str) -> bool:
+    """Whether words stand behind single blanks or line feeds only, with no other white space and no zero character."""
+    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        return False
+    return text.replace("\n", "").isprintable() or not _OTHER_SPACE.search(text)
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """Bytes of a binary column; null becomes empty."""
     return [b"" if x is None else x for x in column.to_pylist()]

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import stored
+from lexigrid.llm.common import is_plain, stored
 from lexigrid.llm.windows import by_bytes
 
 #: Aligned chunks that a worker keeps before it starts anew, at some 300 bytes, and chunks that are aligned at once.
@@ -43,7 +43,6 @@ HELD_PAIRS = 1 << 20
 #: Pairs whose counts are sent to every worker, at 16 bytes; more are joined by a shuffle.
 BROADCAST_PAIRS = 4_000_000
 
-_OTHER = re.compile(r"[^\S \n]|\x00")
 _CHUNK = re.compile(r"(?<=\S)(?=[ \n])")
 #: Chunks in which the ranks' pattern and the file's pattern surely see the same letters.
 _LATIN = re.compile(r"[\x20-\x7e\xa1-\u024f\n]*")
@@ -52,11 +51,6 @@ _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def is_plain(text: str) -> bool:
-    """Whether words stand behind single blanks or line feeds only."""
-    return not _OTHER.search(text) and len(text.split()) == text.count(" ") + text.count("\n") + 1
-
-
 def chunks(text: str) -> list[str]:
     """Pieces of a space and the text, each white space and what follows up to the next blank or line feed."""
     return _CHUNK.split(" " + text)

@@ -12,10 +12,8 @@ length, only whole texts are encoded. Further columns are not looked at.
 
 from __future__ import annotations
 
-import itertools
 import mmap
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,22 +27,21 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import scratch
+from lexigrid.llm.common import is_plain, scratch
+from lexigrid.llm.windows import by_bytes
 
-#: Entries that a worker's table of encoded words may hold before it starts anew, at some 150 bytes.
-MEMO_ENTRIES = 500_000
-#: Text bytes of a file, about.
-FILE_BYTES = 64 << 20
-
-#: Words that are kept apart by one blank or line feed can be encoded one by one; other texts are encoded whole.
-_ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+#: Encoded words that a worker keeps before it starts anew, at some 180 bytes, and words that are encoded in one go.
+MEMO_ENTRIES, LEARNT = 900_000, 8192
+#: Text bytes of a file, about, and of a piece that is encoded at once.
+FILE_BYTES, PIECE = 64 << 20, 2 << 20
 
 
 class Encoder:
     """Encodes texts with a byte-level BPE file of the tokenizers library.
 
     Its pre-tokenizer always ends a token before a single blank and on either side of a single line feed, so a word has the
-    same ids wherever it stands; each distinct word is encoded once and looked up afterwards.
+    same ids wherever it stands behind the same sign; each distinct word is encoded once and looked up afterwards. Texts with other
+    white space, or with strings of special tokens, are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int, special_as_text: bool = False) -> None:
@@ -59,54 +56,71 @@ class Encoder:
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)  # a byte-level token has one character per byte
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.end = np.array([end_id], self.dtype).tobytes()
-        self.line = self._whole("\n")
-        self.line_id = int(np.frombuffer(self.line, self.dtype)[0])
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _learn(self, memo: dict[str, bytes], new: list[str], before: str) -> None:
-        """Encode words in one go: joined by the separator they stand behind, then cut where each word ends."""
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([before + before.join(part)], add_special_tokens=False)[0].ids, np.int64)
-            if before == "\n":
-                ids = ids[ids != self.line_id]
-            ends = np.cumsum(np.fromiter((len(w.encode()) + (before == " ") for w in part), np.int64, len(part)))
-            stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="left") + 1
-            data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-            for word, a, b in zip(part, itertools.chain((0,), stops), stops):
-                memo[word] = data[a * width : b * width]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > MEMO_ENTRIES:
-            self.first, self.later = {}, {}
-        split: list[list[list[str]] | None] = []
-        first, later = set(), set()
-        for text in texts:
-            if not text or _ODD.search(text) or any(s in text for s in self.special):
-                split.append(None)
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            split.append(lines)
-            for line in lines:
-                first.add(line[0])
-                later.update(line[1:])
-        self._learn(self.first, list(first.difference(self.first)), "\n")
-        self._learn(self.later, list(later.difference(self.later)), " ")
-        return [self._whole(text) + self.end if lines is None else self._looked_up(lines) for text, lines in zip(texts, split)]
-
-    def _looked_up(self, lines: list[list[str]]) -> bytes:
-        out: list[bytes] = []
-        for line in lines:
-            out.append(self.first[line[0]])
-            out.extend(map(self.later.__getitem__, line[1:]))
-            out.append(self.line)
-        out[-1] = self.end
-        return b"".join(out)
+        self.end_id = end_id
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(1 << 16, self.dtype), np.zeros(1 << 14, np.int64)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, keys: list[str]) -> None:
+        """Encode words in one go, each behind its line feed or blank, then cut where each word ends."""
+        joined = "".join([k if k[0] == "\n" else " " + k for k in keys])
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+        sizes = pyarrow.compute.binary_length(pa.array(keys, pa.string())).to_numpy() + np.fromiter((k[0] != "\n" for k in keys), np.int64, len(keys))
+        stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes), side="left") + 1
+        first, before = len(self.known), self.ends[len(self.known) - 1] if self.known else 0
+        self.known.update(zip(keys, range(first, first + len(keys))))
+        while first + len(keys) > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while before + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ends[first : first + len(keys)] = before + stops
+        self.ids[before : before + len(ids)] = ids
+
+    def _plain(self, text: str | None) -> bool:
+        return bool(text) and is_plain(text) and not any(s in text for s in self.special)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each with the end id behind it, and the number of ids of each text."""
+        strings = texts.to_pylist()
+        plain = np.fromiter(map(self._plain, strings), bool, len(strings))
+        # words behind a line feed keep it, and so does the first word of a text, where it is taken away again
+        marked = pyarrow.compute.replace_substring(texts.filter(pa.array(plain)), "\n", " \n")
+        lists = pyarrow.compute.split_pattern(pyarrow.compute.binary_join_element_wise("\n", marked, ""), " ")
+        coded = lists.flatten().dictionary_encode()
+        keys = coded.dictionary.to_pylist()
+        if len(self.known) + len(keys) > MEMO_ENTRIES:
+            self.forget()
+        new = [k for k in keys if k not in self.known]
+        for at in range(0, len(new), LEARNT):
+            self._learn(new[at : at + LEARNT])
+        entry = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        ends = self.ends[entry]
+        starts = np.where(entry > 0, self.ends[entry - 1], 0)
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words = pyarrow.compute.list_value_length(lists).to_numpy().astype(np.int64)
+        start, count = starts[code], (ends - starts)[code]
+        first = (np.cumsum(words) - words)[words > 0]
+        start[first] += 1  # the line feed is one id
+        count[first] -= 1
+        total = np.concatenate(([0], np.cumsum(count)))
+        sizes = np.zeros(len(strings), np.int64)
+        sizes[plain] = np.diff(total[np.cumsum(words)], prepend=0)
+        odd = {i: self._whole(strings[i] or "") for i in np.flatnonzero(~plain).tolist()}
+        for i, ids in odd.items():
+            sizes[i] = len(ids)
+        out = np.full(int(sizes.sum()) + len(sizes), self.end_id, self.dtype)
+        place = np.cumsum(sizes + 1) - sizes - 1
+        body = self.ids[np.arange(total[-1]) + np.repeat(start - total[:-1], count)]
+        own = sizes[plain]
+        out[np.arange(len(body)) + np.repeat(place[plain] - (np.cumsum(own) - own), own)] = body
+        for i, ids in odd.items():
+            out[place[i] : place[i] + sizes[i]] = ids
+        return out, sizes + 1
 
 
 @lru_cache(maxsize=1)
@@ -143,15 +157,12 @@ def _writer(folder: str, tokenizer: str, end_id: int, special_as_text: bool):
         name = f"{part:06d}-{uuid.uuid4().hex}"
         offsets, doc_ids, done = [np.zeros(1, np.int64)], [], 0
         with fs.open_output_stream(f"{path}/{name}.ids") as out:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    piece = batch.slice(at, 256)
-                    coded = encoder.encode(["" if x is None else x for x in piece.column(1).to_pylist()])
-                    ends = done + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded))) // encoder.dtype.itemsize
-                    out.write(b"".join(coded))
-                    offsets.append(ends)
-                    doc_ids.append(pa.compute.fill_null(piece.column(0), NULL_ID).to_numpy(zero_copy_only=False))
-                    done = int(ends[-1])
+            for piece in by_bytes(batches, 1, PIECE):
+                ids, sizes = encoder.encode(pa.compute.fill_null(piece.column(1), ""))
+                out.write(ids.tobytes())
+                offsets.append(done + np.cumsum(sizes))
+                doc_ids.append(pa.compute.fill_null(piece.column(0), NULL_ID).to_numpy(zero_copy_only=False))
+                done += len(ids)
         for kind, values in (("off", offsets), ("doc", doc_ids or [np.zeros(0, np.int64)])):
             with fs.open_output_stream(f"{path}/{name}.{kind}") as out:
                 out.write(np.concatenate(values).astype("<i8").tobytes())
