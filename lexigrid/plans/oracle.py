@@ -501,6 +501,15 @@ def statements() -> dict[str, str]:
         f"FROM parts CROSS JOIN (VALUES {families}) AS f(family) WHERE part = 'test' GROUP BY family"
     )
 
+    q["subword_facts"] = (
+        _with(
+            _docs(),
+            f"tok AS MATERIALIZED (SELECT doc_id, unnest({_spaces()}) AS word FROM docs)",
+            "known AS MATERIALIZED (SELECT word FROM tok GROUP BY word HAVING count(*) >= 2)",
+            "held AS (SELECT doc_id, count(*) AS n FROM tok SEMI JOIN known USING (word) GROUP BY doc_id)",
+        )
+        + " SELECT docs.doc_id, coalesce(n, 0) AS n_known, (SELECT count(*) FROM known) AS n_words FROM docs LEFT JOIN held USING (doc_id)"
+    )
     families = ", ".join(f"('{f}')" for f in SOFTMAX_FITS)
     q["softmax_facts"] = (
         _with(_docs(), *_holdout())

@@ -789,6 +789,20 @@ def w2v_docvec(spark, sf):
     return vectors.transform(corpus).select("doc_id", vector_to_array("features").alias("vector"))
 
 
+@query
+def subword_facts(spark, sf):
+    """Vectors whose words share character grams: the known words are those that occur twice, and each text's
+    mean is over its known words only."""
+    corpus = documents(spark, sf)
+    found = embed.fit_word_vectors(corpus, vector_size=32, window=3, min_count=2, epochs=2, subwords=(3, 5), buckets=5000)
+    texts = corpus.select(F.col("doc_id").alias("key"), "text")
+    means = found.means(texts).select(F.col("key").alias("doc_id"), "n_known")
+    words = found.vocabulary.count()
+    return corpus.select("doc_id").join(means, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_known", F.lit(0)).alias("n_known"), F.lit(words).cast("long").alias("n_words")
+    )
+
+
 @query
 def grid_search(spark, sf):
     """Elastic-net grid on exact folds, refitted and scored on the holdout."""

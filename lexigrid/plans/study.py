@@ -43,6 +43,7 @@ class Component:
 VECTORIZER_KINDS = {
     "TfidfVectorizerWrapper": "tfidf",
     "Word2VecVectorizer": "word2vec",
+    "FastTextVectorizer": "subword",
     "BertVectorizer": "encoder",
 }
 CLASSIFIER_KINDS = {
@@ -63,6 +64,7 @@ DEFAULT_PAIR = (
 VECTORIZER_PARAMS = {
     "tfidf": {"analyzer", "ngram_range", "min_df", "max_df", "max_features", "strip_accents", "stop_words"},
     "word2vec": {"vector_size", "window", "min_count", "epochs", "seed"},
+    "subword": {"vector_size", "window", "min_count", "epochs", "seed", "min_n", "max_n", "bucket"},
     "encoder": {"make_encoder", "name", "batch_size"},
 }
 VECTORIZER_PARAMS["count"] = VECTORIZER_PARAMS["tfidf"]
@@ -92,9 +94,10 @@ def fit_vectorizer(spec: Component, train: DataFrame):
             maxFeatures=int(p.get("max_features") or 0), stripAccents=bool(p.get("strip_accents")),
             stopWords=_stop_words(p.get("stop_words")), weighting=kind,
         ).fit(train).transform
-    if kind == "word2vec":
+    if kind in ("word2vec", "subword"):
+        grams = {"subwords": (p.get("min_n", 3), p.get("max_n", 6)), "buckets": p.get("bucket", 100_000)} if kind == "subword" else {}
         return fit_word_vectors(
-            train, p.get("vector_size", 100), p.get("window", 5), p.get("min_count", 1), p.get("epochs", 5), p.get("seed", 42)
+            train, p.get("vector_size", 100), p.get("window", 5), p.get("min_count", 1), p.get("epochs", 5), p.get("seed", 42), **grams
         ).transform
     if "make_encoder" not in p or "name" not in p:
         raise ValueError("an encoder needs make_encoder, and a name (with version) that keys its stored features")

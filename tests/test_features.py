@@ -131,8 +131,8 @@ def test_argmax_and_alignment(spark):
 
 def test_word_vectors_ignore_unknown_tokens(spark):
     df = spark.createDataFrame([(i, "u v u v w") for i in range(20)] + [(99, "u unknown"), (100, "nothing")], "doc_id long, text string")
-    fitted = embed.fit_word_vectors(df, vector_size=4, min_count=2, copies=2)
-    table = {r["word"]: r["vector"].toArray() for r in fitted.model.getVectors().collect()}
+    fitted = embed.fit_word_vectors(df, vector_size=4, min_count=2)
+    table = {r["word"]: np.array(r["vector"]) for r in fitted.table().collect()}
     assert set(table) == {"u", "v", "w"}
     rows = {r["doc_id"]: r["features"].toArray() for r in fitted.transform(df).collect()}
     assert np.allclose(rows[99], table["u"], atol=1e-5) and np.allclose(rows[100], 0)

@@ -252,9 +252,11 @@ def test_word_vector_store(spark, tmp_path):
 
     def fit():
         calls.append(1)
-        return embed.fit_word_vectors(df, vector_size=3, min_count=1, copies=1, epochs=1)
+        return embed.fit_word_vectors(df, vector_size=3, min_count=1, epochs=1)
 
     path = str(tmp_path / "w2v")
-    a = embed.load_or_fit(spark, path, fit).transform(df).first()["features"]
-    b = embed.load_or_fit(spark, path, fit).transform(df).first()["features"]
+    a = embed.load_or_fit(spark, path, {"size": 3}, fit).transform(df).first()["features"]
+    b = embed.load_or_fit(spark, path, {"size": 3}, fit).transform(df).first()["features"]
     assert a == b and len(calls) == 1
+    embed.load_or_fit(spark, path, {"size": 3, "window": 2}, fit)
+    assert len(calls) == 2
