@@ -97,7 +97,7 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> D
     factors = found.filter("repeated").select("doc_id", "text_hash", F.shiftright("pack", 18).alias("start"), (F.shiftright("pack", 9).bitwiseAND(F.lit(511)) + 1).alias("count"))
 
     # factor boundaries: the first holders of blocks that share their gram, window by window
-    edges = found.filter("shared and not repeated").groupBy("doc_id", "text_hash").agg(F.collect_list("pack").alias("packs"))
+    edges = found.filter("shared and not repeated").groupBy("doc_id", "text_hash").agg(F.collect_set("pack").alias("packs"))
     opened = texts.join(edges, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "packs").mapInArrow(_opened(width), "high long, low long, doc_id long, text_hash long, start long")
     windows = dropping_shuffles(spark, lambda: stored(opened, "windows"))
     first = windows.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("high", "low", "first")
@@ -105,6 +105,11 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> D
     return factors.unionByName(late)
 
 
+def listed_runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+    """(doc_id, text_hash, runs): the distinct runs of each document; rows that repeat one as a whole add none."""
+    return repeated_windows(docs, width, gram).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "count")).alias("runs"))
+
+
 def _parsed(width: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 1):
@@ -128,6 +133,6 @@ PARSED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
     """Every row: doc_id, n_words, n_removed, spans ([from, to, ...] of removed words), kept_sha256, and the kept words if asked for."""
-    runs = repeated_windows(docs, width, gram).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+    runs = listed_runs(docs, width, gram)
     joined = _texts(docs).join(runs, ["doc_id", "text_hash"], "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_parsed(width, keep_text), "doc_id long, n_words long, n_removed long, spans array<long>, kept_sha256 string, kept binary")

@@ -230,8 +230,8 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, step
     start = F.shiftright("pack", 18)
     done = level0.filter(F.col("state") != OPEN).select("key", start.alias("start"), (F.shiftright("pack", 9).bitwiseAND(F.lit(511)) + 1).alias("count"))
 
-    left = level0.filter(F.col("state").isin(REPRESENTATIVE, OPEN)).groupBy("key").agg(F.collect_list(F.struct("pack", (F.col("state") == OPEN).alias("open"))).alias("list"))
-    # rows that are repeated as a whole have equal keys; either's text will do
+    left = level0.filter(F.col("state").isin(REPRESENTATIVE, OPEN)).groupBy("key").agg(F.collect_set(F.struct("pack", (F.col("state") == OPEN).alias("open"))).alias("list"))
+    # rows that are repeated as a whole have equal keys: each has all that is listed, once
     contexts = _texts(docs).join(left, "key").mapInArrow(_open_texts(width), CONTEXT_SQL)
     contexts = dropping_shuffles(spark, lambda: stored(contexts, "contexts"))
     times = F.sum(F.when(F.col("open"), 1).otherwise(2)).alias("n")
@@ -250,6 +250,11 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, step
     return done.unionByName(single.filter("open").join(again, ["high", "low"]).select("key", "start", F.lit(1).cast("long").alias("count")))
 
 
+def listed_runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, step: int = STEP, bucket: int = BUCKET) -> DataFrame:
+    """(key, runs): the distinct runs of each key; rows that repeat one as a whole add none."""
+    return repeated_windows(docs, width, gram, step, bucket).groupBy("key").agg(F.collect_set(F.struct("start", "count")).alias("runs"))
+
+
 def _digests(width: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 1):
@@ -271,7 +276,7 @@ DIGEST = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, step: int = STEP, bucket: int = BUCKET, keep_text: bool = False) -> DataFrame:
     """Every row: doc_id, n_bytes, n_removed, spans ([from, to, ...] of removed bytes), kept_sha256, and the kept bytes if asked for."""
-    runs = repeated_windows(docs, width, gram, step, bucket).groupBy("key").agg(F.collect_list(F.struct("start", "count")).alias("runs"))
+    runs = listed_runs(docs, width, gram, step, bucket)
     texts = docs.select(row_key().alias("key"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     joined = texts.join(runs, "key", "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_digests(width, keep_text), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept_sha256 string, kept binary")
