@@ -155,22 +155,30 @@ def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = D
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Texts and labels a fit takes: all of them, or the share of doc_id hashes that comes to about max_rows."""
-    known = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), (F.col("quality") > 0).cast("double").alias("good"))
-    n = known.count()
-    if n > max_rows:
-        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * max_rows / n)))
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text")).join(known, "id").select("text", "good")
+    """id, text_hash, text and label of the rows a fit takes; equal (id, text_hash) are one row, at most max_rows in all.
+
+    A doc_id with several labels has that of most of them, 1 if they are as many. Of more rows than max_rows those with the smallest
+    hashes are taken, first of labelled doc_ids, then of their distinct texts.
+    """
+    known = labels.filter("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+    known = known.agg((F.avg((F.col("quality") > 0).cast("double")) >= 0.5).cast("double").alias("good"))
+    known = known.orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    keys = texts.select("id", "text_hash").join(F.broadcast(known), "id").distinct()
+    keys = keys.orderBy(F.xxhash64("id", "text_hash"), "id", "text_hash").limit(max_rows)
+    return texts.join(F.broadcast(keys), ["id", "text_hash"])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Trees:
     """Statistics are made where the texts are; some numbers a row come to the driver, bounded by max_rows."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = feature_matrix(raw(batch.column(0)))
-        return pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], ["x", "good"])
+        x = feature_matrix(raw(batch.column(2)))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64())), batch.column(3)], ["id", "text_hash", "x", "good"])
 
-    rows = training_rows(docs, labels, max_rows).mapInArrow(by_rows(make), "x array<double>, good double").toArrow()
+    taken = training_rows(docs, labels, max_rows).select("id", "text_hash", "text", "good")
+    rows = taken.mapInArrow(by_rows(make), "id long, text_hash long, x array<double>, good double").dropDuplicates(["id", "text_hash"]).select("x", "good").toArrow()
     x = np.array(rows.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     y = rows.column("good").to_numpy()
     order = np.lexsort((*x.T, y))  # whatever order tasks end in

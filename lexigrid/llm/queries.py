@@ -38,7 +38,7 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))  # a row without an id is not held out
     trees = quality_model.fit_quality(docs, labels.filter(~held))
     scored = quality_model.quality_scores(docs, trees)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
