@@ -18,6 +18,7 @@ an empty table gives no rows. Other columns than page_id, url and html are not r
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lexigrid.llm.common import by_rows
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/"']|\Z)""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -98,6 +99,7 @@ def _parse(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
     blocks: list[tuple[_Node, str]] = []
     text: list[str] = []
     dropped, links, at, articles = False, 0, 0, 0
+    opened: Counter[str] = Counter()  # open elements by name, so that a tag without a partner costs no walk
 
     def flush() -> None:
         if text:
@@ -121,6 +123,7 @@ def _parse(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
             if name in BLOCK:
                 flush()
             node, dropped, links = before, was_dropped, link_depth
+            opened[name] -= 1
             articles -= name in ("article", "main")
         del open_tags[to:]
 
@@ -139,7 +142,7 @@ def _parse(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
         if found.group(1):
             if name == "br":
                 text.append(" ")
-            for i in range(len(open_tags) - 1, -1, -1):
+            for i in range(len(open_tags) - 1, -1, -1) if opened[name] > 0 else ():
                 if open_tags[i][0] == name:
                     close(i)
                     break
@@ -149,7 +152,8 @@ def _parse(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
         attributes = found.group(3)
         if name in BLOCK:
             ends = ENDS.get(name, ())
-            for i in range(len(open_tags) - 1, -1, -1):
+            ended = opened["p"] > 0 or any(opened[x] > 0 for x in ends) or (name in HEADINGS and any(opened[x] > 0 for x in HEADINGS))
+            for i in range(len(open_tags) - 1, -1, -1) if ended else ():
                 was = open_tags[i][0]
                 if was in ends or was == "p" or (was in HEADINGS and name in HEADINGS):
                     close(i)
@@ -174,6 +178,7 @@ def _parse(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
         if attributes.endswith("/") and name not in BLOCK:
             continue
         open_tags.append((name, node, dropped, links))
+        opened[name] += 1
         dropped = dropped or _left_out(name, attributes, articles > 0)
         articles += name in ("article", "main")
         links += name == "a"
