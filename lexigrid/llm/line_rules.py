@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from lexigrid.llm.common import SPACES, stored, words
 
-#: A line is boilerplate if more documents than this, and more than one in MAX_SHARE of its host's documents, hold it.
-MAX_DOCS, MAX_SHARE = 100, 20
+#: A line is boilerplate if more than one in MAX_SHARE of its host's documents hold it, and more documents than a few.
+MAX_DOCS, MAX_SHARE = 3, 20
 #: A document is depleted if over this share of its words goes, or fewer words than this stay.
 MAX_REMOVED, MIN_WORDS = 0.8, 10
 
@@ -81,6 +81,21 @@ def frequent_lines(lines: DataFrame, max_docs: int, max_share: int) -> DataFrame
     return both.filter(F.col("n_docs") * max_share > F.col("all_docs")).select(F.col("host").alias("of"), F.col("line").alias("frequent"))
 
 
+def without_frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max_share: int = MAX_SHARE) -> DataFrame:
+    """Every row with all its columns, and the text without its host's boilerplate lines; a text that holds none is as it was."""
+    lines = stored(document_lines(docs, host), "lines")
+    frequent = frequent_lines(lines, max_docs, max_share)
+    marked = lines.join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("frequent")))
+    gone = marked.groupBy(F.col("doc_id").alias("_doc"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash")).agg(F.collect_set("line").alias("_gone"))
+    doc_id, of, text_hash = (F.col(f"_row.{c}") for c in ("doc_id", host, "text"))
+    rows = docs.select(F.struct("*").alias("_row"))
+    text_hash = F.xxhash64(F.coalesce(text_hash, F.lit("")))
+    joined = rows.join(gone, doc_id.cast("long").eqNullSafe(F.col("_doc")) & of.eqNullSafe(F.col("_host")) & (text_hash == F.col("_hash")), "left")
+    stays = F.filter(F.split("_row.text", "\n", -1), lambda x: (F.translate(x, SPACES, "") == "") | ~F.array_contains("_gone", F.xxhash64(normalised(x))))
+    text = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(F.array_join(stays, "\n"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
 def judged(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max_share: int = MAX_SHARE, max_removed: float = MAX_REMOVED, min_words: int = MIN_WORDS) -> DataFrame:
     """Every row's doc_id and host, base statistics, words in boilerplate lines (n_boilerplate) and whether it is kept."""
     lines = stored(document_lines(docs, host), "lines")

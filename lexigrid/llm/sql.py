@@ -35,7 +35,7 @@ normal AS (
     FROM line),
 counts AS (SELECT source, x, count(DISTINCT doc_id) AS n_docs FROM normal GROUP BY source, x),
 hosts AS (SELECT source, count(DISTINCT doc_id) AS all_docs FROM normal GROUP BY source),
-frequent AS (SELECT source, x FROM counts JOIN hosts USING (source) WHERE n_docs > 100 AND n_docs * 20 > all_docs),
+frequent AS (SELECT source, x FROM counts JOIN hosts USING (source) WHERE n_docs > 3 AND n_docs * 20 > all_docs),
 share AS (
     SELECT doc_id, sum(n) FILTER (WHERE f.x IS NOT NULL) / sum(n) AS share
     FROM normal LEFT JOIN frequent f ON normal.source = f.source AND normal.x = f.x GROUP BY doc_id),
