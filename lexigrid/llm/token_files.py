@@ -84,7 +84,12 @@ class Encoder:
     def _plain(self, text: str | None) -> bool:
         return bool(text) and is_plain(text) and not any(s in text for s in self.special)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids with the end id, as the files hold them."""
+        ids, sizes = self.encode_all(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each with the end id behind it, and the number of ids of each text."""
         strings = texts.to_pylist()
         plain = np.fromiter(map(self._plain, strings), bool, len(strings))
@@ -158,7 +163,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, special_as_text: bool):
         offsets, doc_ids, done = [np.zeros(1, np.int64)], [], 0
         with fs.open_output_stream(f"{path}/{name}.ids") as out:
             for piece in by_bytes(batches, 1, PIECE):
-                ids, sizes = encoder.encode(pa.compute.fill_null(piece.column(1), ""))
+                ids, sizes = encoder.encode_all(pa.compute.fill_null(piece.column(1), ""))
                 out.write(ids.tobytes())
                 offsets.append(done + np.cumsum(sizes))
                 doc_ids.append(pa.compute.fill_null(piece.column(0), NULL_ID).to_numpy(zero_copy_only=False))
