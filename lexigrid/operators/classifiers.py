@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.functions.vectors import align_to_labels, argmax_index, normalise_sum, project_rows, vector_cells
+from lexigrid.operators import network
 from lexigrid.operators.boosting import Settings, boost
 from lexigrid.operators.features import feature_variance
 from lexigrid.operators.profile import with_class_weight
@@ -180,6 +181,13 @@ def perceptron(train: DataFrame, hidden: tuple[int, ...] = (128, 64), max_iter:
     )
 
 
+def feed_forward(train: DataFrame, settings: network.Settings) -> Fitted:
+    """Feed-forward network with Adam; see ``operators/network.py``."""
+    labels = training_labels(train)
+    net = network.train_network(_indexed(train, labels), len(labels), settings)
+    return Fitted(labels, lambda rows: rows.withColumn("_p", net.probabilities(F.col("features"))), [net])
+
+
 def boosted_trees(train: DataFrame, n_estimators: int = 300, max_depth: int = 6, learning_rate: float = 0.1,
                   subsample: float = 0.8, colsample: float = 0.8, seed: int = 42, max_bin: int = 32) -> Fitted:
     """Gradient boosting of the softmax loss (logistic with two classes): a tree a class and round from shared histograms."""
@@ -313,8 +321,21 @@ def _rf(train: DataFrame, n_estimators: int = 200, max_depth: int | None = None,
     return random_forest(train, n_estimators, max_depth, random_state)
 
 
-def _mlp(train: DataFrame, hidden_layer_sizes=(128, 64), max_iter: int = 200, random_state: int = 42) -> Fitted:
+def _mlp(
+    train: DataFrame, hidden_layer_sizes=(128, 64), max_iter: int = 200, random_state: int = 42, solver: str | None = None,
+    activation: str | None = None, alpha: float | None = None, learning_rate_init: float | None = None, learning_rate: str | None = None,
+    batch_size: int | str | None = None, dropout: float | None = None, tol: float | None = None, n_iter_no_change: int | None = None,
+) -> Fitted:
+    """Adam, where the solver or any of its parameters is named; else, or for ``lbfgs``, Spark ML's perceptron with sigmoid units."""
     hidden = tuple(hidden_layer_sizes) if isinstance(hidden_layer_sizes, (list, tuple)) else (int(hidden_layer_sizes),)
+    if learning_rate not in (None, "constant"):
+        raise ValueError(f"learning_rate {learning_rate!r} is not available")
+    named = {"units": activation, "decay": alpha, "rate": learning_rate_init, "batch": None if batch_size == "auto" else batch_size, "dropout": dropout, "tolerance": tol, "patience": n_iter_no_change}
+    named = {k: v for k, v in named.items() if v is not None}
+    if solver not in (None, "adam", "lbfgs") or (solver == "lbfgs" and named):
+        raise ValueError(f"solver {solver!r} with {', '.join(named) or 'these parameters'} is not available")
+    if solver == "adam" or named or learning_rate or batch_size:
+        return feed_forward(train, network.Settings(hidden=hidden, epochs=max_iter, seed=random_state, **named))
     return perceptron(train, hidden, max_iter, random_state)
 
 

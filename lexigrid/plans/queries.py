@@ -745,13 +745,14 @@ def family_facts(spark, sf):
 # Families that fit all classes at once, with settings at which their loss is followed.
 SOFTMAX_FITS = {
     "boosted": ("xgb", {"n_estimators": 6, "max_depth": 4, "learning_rate": 0.3}),
+    "network": ("mlp", {"hidden_layer_sizes": [1024], "activation": "relu", "alpha": 0.001, "dropout": 0.3, "batch_size": 32, "max_iter": 4}),
     "softmax": ("logreg", {"C": 10.0, "max_iter": 20, "solver": "saga", "penalty": "elasticnet", "l1_ratio": 0.2}),
 }
 
 
 @query
 def softmax_facts(spark, sf):
-    """What must hold for boosting and softmax regression over several classes: a row per test document,
+    """What must hold for boosting, a network and softmax regression over several classes: a row per test document,
     probabilities that sum to one, a loss that falls with each round or iteration, and more documents
     right than the majority class has."""
     train, test = _tfidf_split(spark, sf, size=150)
@@ -760,7 +761,7 @@ def softmax_facts(spark, sf):
     for name, (kind, params) in SOFTMAX_FITS.items():
         fitted = fit_classifier(kind, train, params)
         model = fitted.parts[0]
-        losses = model.losses if name == "boosted" else list(model.summary.objectiveHistory)
+        losses = list(model.summary.objectiveHistory) if name == "softmax" else model.losses
         facts = fitted.predict(test).agg(
             F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"),
             F.bool_and(F.abs(F.aggregate("proba", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("sums_to_one"),
