@@ -227,6 +227,16 @@ def analyze(
     raise ValueError(f"unknown analyzer {analyzer!r}")
 
 
+def analyze_parts(
+    text: Column, analyzer: str = "word", ngram_range: tuple[int, int] = (1, 1), strip: bool = False, stop_words=(),
+) -> tuple[Column, tuple[int, int]]:
+    """``analyze`` in two steps: a list, and how many neighbours in it make a feature, where that is left to the caller."""
+    if analyzer in ("word", "space"):
+        _check_range(*ngram_range)
+        return analyze(text, analyzer, (1, 1), strip, stop_words), tuple(ngram_range)
+    return analyze(text, analyzer, ngram_range, strip, stop_words), (1, 1)
+
+
 # --- sub-words ------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import FLAG_PATTERNS, analyze, regex_flags
+from lexigrid.functions.text import FLAG_PATTERNS, analyze, analyze_parts, regex_flags
 from lexigrid.functions.vectors import vector_cells
 from lexigrid.operators.vocab import fit_vocabulary
 from lexigrid.session import fits_broadcast
@@ -36,8 +36,8 @@ class _AnalyzerParams(HasInputCol, HasOutputCol):
     stripAccents = Param(Params._dummy(), "stripAccents", "drop diacritics first", TypeConverters.toBoolean)
     stopWords = Param(Params._dummy(), "stopWords", "words to drop", TypeConverters.toListString)
 
-    def _grams(self) -> Column:
-        return analyze(
+    def _asked(self) -> tuple:
+        return (
             F.col(self.getOrDefault("inputCol")),
             self.getOrDefault("analyzer"),
             tuple(self.getOrDefault("ngramRange")),
@@ -45,6 +45,12 @@ class _AnalyzerParams(HasInputCol, HasOutputCol):
             self.getOrDefault("stopWords"),
         )
 
+    def _grams(self) -> Column:
+        return analyze(*self._asked())
+
+    def _parts(self) -> tuple[Column, tuple[int, int]]:
+        return analyze_parts(*self._asked())
+
 
 class Analyzer(Transformer, _AnalyzerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Text column to array-of-features column."""
@@ -83,12 +89,14 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
         self._set(**self._input_kwargs)
 
     def vocabulary(self, dataset: DataFrame) -> DataFrame:
+        parts, sizes = self._parts()
         return fit_vocabulary(
             dataset,
-            self._grams(),
+            parts,
             bound(self.getOrDefault("minDF"), below=1.0),
             bound(self.getOrDefault("maxDF"), below=1.0 + 1e-12),
             self.getOrDefault("maxFeatures") or None,
+            sizes=sizes,
         )
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:

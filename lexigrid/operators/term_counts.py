@@ -8,6 +8,7 @@ by fold.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,27 @@ def _numbered(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(lists)), lengths), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
-def _in_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def _joined(lists: pa.Array, lo: int, hi: int) -> pa.Array:
+    """Runs of lo to hi neighbouring elements of each list, joined by a blank."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, row = lists.flatten(), np.repeat(np.arange(len(lists)), lengths)
+    parts, rows, run = [], [], flat
+    for n in range(1, hi + 1):
+        if n > 1:
+            run = pc.binary_join_element_wise(run.slice(0, max(0, len(flat) - n + 1)), flat.slice(min(n - 1, len(flat))), " ")
+        if n >= lo:
+            same = row[n - 1 :] == row[: len(row) - n + 1] if len(row) >= n else np.zeros(0, bool)
+            parts.append(run.filter(pa.array(same)) if n > 1 else run)
+            rows.append(row[: len(same)][same])
+    of = np.concatenate(rows)
+    order = np.argsort(of, kind="stable")
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(of[order], np.arange(len(lists) + 1)), pa.int32()), pa.concat_arrays(parts).take(pa.array(order)))
+
+
+def _in_rows(batch: pa.RecordBatch, sizes: tuple[int, int] = (1, 1)) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Row, number and occurrences of each distinct term of a row, and the distinct terms; ``tfs`` counts, where there is one."""
-    row, code, terms = _numbered(batch.column("terms"))
+    lists = batch.column("terms")
+    row, code, terms = _numbered(lists if sizes == (1, 1) else _joined(lists, *sizes))
     if "tfs" in batch.schema.names:
         return row, code, batch.column("tfs").flatten().to_numpy(zero_copy_only=False).astype(np.int64), terms
     pair, tf = np.unique(row * max(1, len(terms)) + code, return_counts=True)
@@ -58,13 +77,16 @@ def _fields(df: DataFrame, keys: tuple[str, ...]) -> list[T.StructField]:
     return [T.StructField(k, df.schema[k].dataType) for k in keys]
 
 
-def counted_documents(corpus: DataFrame, grams: Column, *keys: str) -> DataFrame:
-    """``(keys..., terms, tfs)``: each row's distinct terms and how often it holds them; one pass over the texts."""
+def counted_documents(corpus: DataFrame, grams: Column, *keys: str, sizes: tuple[int, int] = (1, 1)) -> DataFrame:
+    """``(keys..., terms, tfs)``: each row's distinct terms and how often it holds them; one pass over the texts.
+
+    ``sizes``: terms are runs of so many neighbours in ``grams``, joined by a blank.
+    """
     schema = T.StructType([*_fields(corpus, keys), T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("tfs", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _pieces(batches, "terms"):
-            row, code, tf, terms = _in_rows(batch)
+            row, code, tf, terms = _in_rows(batch, sizes)
             offsets = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, x) for x in (terms.take(pa.array(code)).cast(pa.string()), pa.array(tf.astype(np.int32)))]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *lists], [*keys, "terms", "tfs"])
@@ -72,11 +94,11 @@ def counted_documents(corpus: DataFrame, grams: Column, *keys: str) -> DataFrame
     return corpus.select(*keys, grams.alias("terms")).mapInArrow(run, schema)
 
 
-def partial_counts(rows: DataFrame, *keys: str) -> DataFrame:
+def partial_counts(rows: DataFrame, *keys: str, sizes: tuple[int, int] = (1, 1)) -> DataFrame:
     """``(keys..., term, df, cf)`` summed over Arrow batches: to be summed again by key and term.
 
     ``rows`` has ``terms`` (features with repeats), or ``terms`` and ``tfs`` as from `counted_documents`. A row without a term
-    (null) has the number of documents as ``df``.
+    (null) has the number of documents as ``df``. ``sizes``: as for `counted_documents`.
     """
     schema = T.StructType([*_fields(rows, keys), T.StructField("term", T.StringType()), T.StructField("df", T.LongType()), T.StructField("cf", T.LongType())])
     columns = [*keys, "terms", *(["tfs"] if "tfs" in rows.columns else [])]
@@ -89,7 +111,7 @@ def partial_counts(rows: DataFrame, *keys: str) -> DataFrame:
                 named: dict = {}
                 group = np.fromiter((named.setdefault(tuple(x.values()), len(named)) for x in of.to_pylist()), np.int64, batch.num_rows)
                 first = np.unique(group, return_index=True)[1]
-            row, code, tf, terms = _in_rows(batch)
+            row, code, tf, terms = _in_rows(batch, sizes)
             width = max(1, len(terms))
             at, where = np.unique(group[row] * width + code, return_inverse=True)
             df, cf = np.bincount(where, minlength=len(at)), np.bincount(where, tf, len(at))
@@ -121,9 +143,8 @@ class Sketch:
     def __init__(self, counts: DataFrame, wanted: int) -> None:
         self.width = 1 << max(12, (BUCKETS_PER_TERM * wanted - 1).bit_length())
         self.counts = counts.filter("term is not null").withColumn("_h", F.xxhash64("term"))
-        entries = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), self._bucket(r).alias("b")) for r in range(SKETCH_ROWS)]))
-        sums = self.counts.select("cf", entries.alias("at")).groupBy("at.r", "at.b").agg(F.sum("cf").alias("most"))
-        self.sums = keep(sums)
+        rows = [self.counts.groupBy(self._bucket(r).alias("b")).agg(F.sum("cf").alias("most")).select(F.lit(r).alias("r"), "b", "most") for r in range(SKETCH_ROWS)]
+        self.sums = keep(reduce(DataFrame.unionByName, rows))
 
     def _bucket(self, r: int) -> Column:
         """Bits of the hash that the rows do not share."""

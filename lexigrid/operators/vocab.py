@@ -14,13 +14,13 @@ from lexigrid.session import cut, keep
 TOP_MERGE_ROWS = 20_000_000
 
 
-def term_stats(corpus: DataFrame, grams: Column) -> DataFrame:
+def term_stats(corpus: DataFrame, grams: Column, sizes: tuple[int, int] = (1, 1)) -> DataFrame:
     """``(term, df, cf)``: documents with the term and occurrences of the term.
 
     Terms are counted inside the row and added up inside an Arrow batch, so a frequent term is
     shuffled once for each batch and a rare one once for each document.
     """
-    return summed(partial_counts(corpus.select(grams.alias("terms"))))
+    return summed(partial_counts(corpus.select(grams.alias("terms")), sizes=sizes))
 
 
 def frequency_cut(stats: DataFrame, n_docs: int, min_df: int | float = 1, max_df: int | float = 1.0) -> DataFrame:
@@ -100,14 +100,18 @@ def fit_vocabulary(
     max_df: int | float = 1.0,
     max_features: int | None = None,
     n_docs: int | None = None,
+    sizes: tuple[int, int] = (1, 1),
 ) -> DataFrame:
-    """``(term, idx, df, cf, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``."""
+    """``(term, idx, df, cf, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``.
+
+    ``sizes``: terms are runs of so many neighbours in ``grams``, joined by a blank.
+    """
     if max_features is None:
         if n_docs is None:
             n_docs = corpus.count()
-        stats = frequency_cut(term_stats(corpus, grams), n_docs, min_df, max_df)
+        stats = frequency_cut(term_stats(corpus, grams, sizes), n_docs, min_df, max_df)
     else:
-        counts = keep(partial_counts(corpus.select(grams.alias("terms"))))
+        counts = keep(partial_counts(corpus.select(grams.alias("terms")), sizes=sizes))
         if n_docs is None:
             n_docs = count_documents(counts)
         stats = top_of(counts, n_docs, min_df, max_df, max_features)

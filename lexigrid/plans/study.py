@@ -18,7 +18,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import analyze
+from lexigrid.functions.text import analyze_parts
 from lexigrid.operators import diversity, ensemble, metrics, profile, split
 from lexigrid.operators.classifiers import fit_classifier
 from lexigrid.operators.embed import encode_texts, fit_word_vectors
@@ -280,8 +280,8 @@ def _counted_folds(
 ) -> dict[Component, list[dict]]:
     """All folds of n-gram vectorizers with one analyzer, from one pass over the texts."""
     a = _analyzer_of(vectorizers[0])
-    grams = analyze(F.col("text"), a["analyzer"], tuple(a["ngram_range"]), a["strip"], a["stop_words"])
-    counted = store.table(f"terms/split_id={split_id}/analyzer={key}", lambda: counted_documents(tagged, grams, "doc_id", "label", "fold"))
+    grams, sizes = analyze_parts(F.col("text"), a["analyzer"], tuple(a["ngram_range"]), a["strip"], a["stop_words"])
+    counted = store.table(f"terms/split_id={split_id}/analyzer={key}", lambda: counted_documents(tagged, grams, "doc_id", "label", "fold", sizes=sizes))
     stats = FoldStatistics.of(counted)
     out = {}
     for vec in vectorizers:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +20,10 @@ BROADCAST_BYTES = 128 << 20
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """A local session for tests and benchmarks; clusters bring their own."""
+    """A local session for tests and benchmarks; clusters bring their own, with this package installed for their workers."""
+    root, known = str(Path(__file__).resolve().parents[1]), os.environ.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lexigrid")

@@ -142,3 +142,12 @@ def test_second_cv_study_trains_nothing(spark, small, tmp_path):
     again = study.cv_study(*args, k=2, store=store)
     assert {r["status"] for r in first.runs} == {"ok"} and {r["status"] for r in again.runs} == {"cached"}
     assert first.predictions.exceptAll(again.predictions).isEmpty()
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (1, 2), (2, 3), (3, 5)])
+def test_neighbours_joined_in_batches_equal_word_ngrams(corpus, sizes):
+    text = F.coalesce("text", F.lit(""))
+    parts, left = tx.analyze_parts(text, "space", sizes)
+    want = {r.term: (r.df, r.cf) for r in vocab.term_stats(corpus, tx.analyze(text, "space", sizes)).collect()}
+    assert {r.term: (r.df, r.cf) for r in vocab.term_stats(corpus, parts, left).collect()} == want
+    assert tx.analyze_parts(text, "char", (3, 3))[1] == (1, 1)
