@@ -115,7 +115,7 @@ def test_partial_folds_are_left_out_of_the_summary(spark, small, monkeypatch):
 
 
 def test_unknown_parameters_are_refused(rows, spark, small):
-    for kind, params in (("mlp", {"alpha": 0.1}), ("rf", {"class_weight": "balanced"}), ("rf", {"max_depth": 40}), ("logreg", {"class_weight": "odd"})):
+    for kind, params in (("mlp", {"momentum": 0.1}), ("rf", {"class_weight": "balanced"}), ("rf", {"max_depth": 40}), ("logreg", {"class_weight": "odd"})):
         with pytest.raises(ValueError):
             clf.fit_classifier(kind, rows[0], params)
     for spec in (study.Component("w", "tfidf", {"sublinear": True}), study.Component("e", "encoder", {"max_length": 5}), study.Component("x", "nope", {})):
