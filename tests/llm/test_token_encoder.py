@@ -34,3 +34,26 @@ def test_encoder_equals_whole_texts(monkeypatch, special_as_text):
 def test_plain_texts():
     assert all(map(is_plain, ("a", "a b", "a\nb c", "é­ x")))
     assert not any(map(is_plain, ("", " ", "a  b", " a", "a ", "a\tb", "a\t b", "a \tb", "a b c", "a\x00 b", "a\n\nb")))
+
+
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_closing_signs_are_no_words_of_their_own(special_as_text):
+    ends = ["", ".", ",", "'", "''", "'.", "...", "!?", "&&&", "%%%)", "\"", "_", "-", "<|"]
+    words = ["tree", "dogs'", "it's", "'s", "'re", "1", "3.14", "x2", "é", "straße", "½", "日", "—", "x—", "a\u0301", "😀", "ɏ", "ʰ", "\u02c2", "don't've", "-", "."]
+    rng = random.Random(2)
+    texts = ["".join(w + e + rng.choice(" \n") for w in rng.sample(words, 6) for e in rng.sample(ends, 3)).strip() for _ in range(200)]
+    encoder, plain = token_files.Encoder(FILE, 2, special_as_text), Tokenizer.from_file(FILE)
+    plain.encode_special_tokens = special_as_text
+    ids, sizes = encoder.encode_all(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+
+    encoder = token_files.Encoder(FILE, 2, special_as_text)
+    encoder.encode_all(pa.array(["tree " + " ".join("tree" + e for e in ends)], pa.string()))
+    assert {k for k in encoder.known if "tree" in k} == {"\ntree", "tree"}
+
+
+def test_odd_texts_are_those_that_are_not_plain():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ab \n\t\x0b\x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000\x00\u200b\xad", [30, 30, 9, 3] + [0.2] * 14, k=rng.randrange(12))) for _ in range(3000)]
+    got = token_files.Encoder(FILE, 2)._plain(pa.array(texts, pa.string())).to_pylist()
+    assert got == [bool(t) and is_plain(t) for t in texts] and 300 < sum(got) < 2700
