@@ -15,7 +15,8 @@ small side is broadcast only if its rows are few; a hot source is spread over it
 
 Defined cases: null and blank texts have size 0 and are never short of their target; a null source is a source of its own, the
 last; rows of equal doc_id fall into one block and are taken equally often; a null doc_id falls into the block of the empty
-name; without words all targets are 0; an empty table gives no rows. `mixed` returns all columns of the documents.
+name; without words all targets are 0; an empty table gives no rows. `mixed` returns all columns of the documents; `takes` writes
+the mix and counts the words of its texts.
 """
 
 from __future__ import annotations
@@ -87,14 +88,6 @@ def sizes(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "source", n_words(F.col("text")).alias("size"), _block(F.col("doc_id")).alias("block"))
 
 
-def takes(docs: DataFrame, total_share: float = 1.0, epochs: int = EPOCHS) -> DataFrame:
-    """Every row's doc_id, source, size, source_size, target and taken (words, repeats counted)."""
-    sized = stored(sizes(docs), "sizes")
-    small = broadcast_if_small(stored(draws(sized, total_share, epochs), "draws").withColumnsRenamed({"source": "of", "block": "in"}), SMALL)
-    both = sized.join(small, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
-    return both.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
-
-
 #: One split: state (blocks not yet seen, places left on the left side, blocks sent left by source), drawn block by block.
 _SPLIT = """aggregate(items, named_struct('rest', total, 'room', half, 'out', cast(array() AS array<bigint>)), (s, it) ->
     aggregate(sequence(1L, it.n), 0L,
@@ -129,9 +122,8 @@ def placed_blocks(drawn: DataFrame, depth: int) -> DataFrame:
     return each.join(stretch, (F.col("rank") == F.col("r")) & (F.col("place") > F.col("from")) & (F.col("place") <= F.col("to"))).select("source", "block", "epoch", "shard")
 
 
-def mixed(docs: DataFrame, total_share: float = 1.0, epochs: int = EPOCHS, depth: int | None = None) -> DataFrame:
-    """The mix: the documents' columns, a row for each time a document is taken, dealt to shards and shuffled within them."""
-    drawn = stored(draws(stored(sizes(docs), "sizes"), total_share, epochs), "draws")
+def _dealt(docs: DataFrame, drawn: DataFrame, depth: int | None) -> DataFrame:
+    """The documents' columns, a row for each time that a document's block is drawn, dealt to shards and shuffled within them."""
     if depth is None:
         taken = drawn.agg(F.sum(F.col("words") * F.col("times"))).first()[0] or 0
         depth = max(0, int(taken // SHARD_WORDS).bit_length())
@@ -143,3 +135,27 @@ def mixed(docs: DataFrame, total_share: float = 1.0, epochs: int = EPOCHS, depth
     each = both.select("row", F.explode("_takes").alias("take"))
     shuffled = _order(F.col("row.doc_id"), F.col("take.epoch"))
     return each.repartition(1 << depth, F.col("take.shard")).sortWithinPartitions(F.col("take.shard"), shuffled).select("row.*")
+
+
+def mixed(docs: DataFrame, total_share: float = 1.0, epochs: int = EPOCHS, depth: int | None = None) -> DataFrame:
+    """The mix: the documents' columns, a row for each time a document is taken, dealt to shards and shuffled within them."""
+    return _dealt(docs, stored(draws(stored(sizes(docs), "sizes"), total_share, epochs), "draws"), depth)
+
+
+def takes(docs: DataFrame, total_share: float = 1.0, epochs: int = EPOCHS, depth: int | None = None) -> DataFrame:
+    """Every row's doc_id, source, size, source_size, target and taken (words in the written mix, repeats counted).
+
+    Rows of equal doc_id, source and size are taken equally often, so the mix's words of such rows are theirs in equal parts.
+    """
+    sized = stored(sizes(docs), "sizes")
+    drawn = stored(draws(sized, total_share, epochs), "draws")
+    mix = stored(_dealt(docs.select("doc_id", "source", "text"), drawn, depth), "mix")
+    same = ["doc_id", "source", "size"]
+    given = sized.select(*same, F.lit(1).alias("given"), F.lit(0).alias("words"))
+    found = mix.select(F.col("doc_id").cast("long"), "source", n_words(F.col("text")).alias("size")).select(*same, F.lit(0).alias("given"), F.col("size").alias("words"))
+    counted = given.unionByName(found).groupBy(*same).agg(F.sum("given").alias("given"), F.sum("words").alias("words"))
+    counted = counted.select(*[F.col(c).alias(f"_{c}") for c in same], F.expr("words div given").alias("taken"))
+    small = broadcast_if_small(drawn.select(F.col("source").alias("of"), F.col("block").alias("in"), "source_size", "target"), SMALL)
+    both = sized.join(small, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("in")))
+    both = both.join(counted, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size")))
+    return both.select("doc_id", "source", "size", "source_size", "target", "taken")

@@ -320,6 +320,18 @@ def test_takes_come_near_their_targets(docs, rows):
     assert Counter(got) == Counter(mixing.takes(docs.repartition(5)).collect())
 
 
+def test_takes_are_counted_in_the_mix(docs, monkeypatch):
+    want = Counter(mixing.takes(docs, depth=3).collect())
+    assert want == Counter(mixing.takes(docs).collect())
+    place = mixing.placed_blocks
+    monkeypatch.setattr(mixing, "placed_blocks", lambda drawn, depth: place(drawn, 3).filter("shard < 4"))
+    half = mixing.takes(docs).collect()
+    total = sum(r.taken * n for r, n in want.items())
+    assert len(half) == sum(want.values()) and 0.2 * total < sum(r.taken for r in half) < 0.8 * total
+    monkeypatch.setattr(mixing, "placed_blocks", lambda drawn, depth: place(drawn, depth).filter("false"))
+    assert mixing.takes(docs).agg(F.sum("taken")).first()[0] == 0
+
+
 def test_sources_that_stop_at_their_cap(spark):
     sizes = {"a": 1000, "b": 3, "c": 50, "d": 0, None: 7}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
