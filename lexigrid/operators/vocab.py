@@ -128,8 +128,9 @@ def fit_vocabulary(
 
 
 def stored_vocabulary(*args, **kwargs) -> DataFrame:
-    """A fitted vocabulary in reliable storage, for joins that read it more than once."""
-    return cut(fit_vocabulary(*args, **kwargs))
+    """A fitted vocabulary in reliable storage, for joins that read it more than once; an unbounded one lies there already."""
+    fitted = fit_vocabulary(*args, **kwargs)
+    return fitted if kwargs.get("max_features") is None and len(args) < 5 else cut(fitted)
 
 
 def space_profile(stats: DataFrame, n_docs: int, name: str, min_df: int, max_features: int) -> DataFrame:

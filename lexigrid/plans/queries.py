@@ -303,10 +303,8 @@ def doc_mean_vector(spark, sf):
     corpus = documents(spark, sf)
     given = table(spark, sf, "embeddings")
     words = vocab.stored_vocabulary(corpus, tx.ws_tokens(F.col("text"))).withColumn("at", F.col("idx") % given.count())
-    vectors = words.join(given, F.col("at") == F.col("vec_id")).select(
-        F.col("term").alias("word"), array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("vector")
-    )
-    means = embed.mean_of_known(corpus, tx.ws_tokens(F.col("text")), vectors, 64)
+    vectors = given.select(F.col("vec_id").alias("at"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+    means = embed.mean_of_known(corpus, tx.ws_tokens(F.col("text")), vectors, 64, words.select(F.col("term").alias("word"), "at"))
     return means.select(
         "doc_id",
         "n_known",

@@ -171,3 +171,29 @@ def test_frequency_bounds_as_shares_and_numbers(spark):
 
     assert terms() == {"all", "half", "rare"} and terms(minDF=0.5) == {"all", "half"} and terms(maxDF=5.0) == {"half", "rare"}
     assert terms(minDF=2.0, maxDF=0.5) == {"half"}
+
+
+def test_words_that_share_vectors_have_the_means_of_their_own(spark, monkeypatch):
+    """Repeated and missing ids, words without a vector, a vector given twice, one without cells; one and several blocks of vectors."""
+    monkeypatch.setattr(embed, "SHARED_CELLS", 7)  # documents whose cells are added in parts
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i % 25, " ".join(words[(i * j) % 40] for j in range(i % 9))) for i in range(60)] + [(None, "w1 w2"), (70, None), (71, "unknown")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    at = spark.createDataFrame([(w, i % 6) for i, w in enumerate(words)], "word string, at long")
+    given = [(k, [float(k), k * 0.5 - 1, 1.0]) for k in (0, 1, 2, 3, 3)] + [(5, None)]
+    vectors = spark.createDataFrame(given, "at long, vector array<double>")
+    want = {}
+    for doc_id, text in rows:
+        n, own = want.setdefault(doc_id, [0, []])
+        for w in (text or "").split():
+            hits = [v for k, v in given if w in words and k == words.index(w) % 6]
+            want[doc_id][0] += len(hits)
+            own += [v for v in hits if v is not None]
+    for size in (48 << 20, 48):
+        monkeypatch.setattr(embed, "SHARED_BYTES", size)
+        got = embed.mean_of_known(df, tx.ws_tokens(F.col("text")), vectors, 3, at).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            n, own = (0, []) if r.doc_id is None else want[r.doc_id]
+            assert r.n_known == n
+            assert np.allclose(r.vector, np.mean(own, axis=0) if own else 0), r
