@@ -103,8 +103,11 @@ def word_ngrams(tokens: Column, lo: int, hi: int) -> Column:
 def char_ngrams(text: Column, lo: int, hi: int) -> Column:
     """Character n-grams across word boundaries; whitespace runs collapse first."""
     _check_range(lo, hi)
-    flat = F.regexp_replace(F.lower(text), f"[{SPACE_CHARS}]{{2,}}", " ")
-    return _joined_char_ngrams(flat, lo, hi)
+    return _joined_char_ngrams(_flat(text), lo, hi)
+
+
+def _flat(text: Column) -> Column:
+    return F.regexp_replace(F.lower(text), f"[{SPACE_CHARS}]{{2,}}", " ")
 
 
 def _joined_char_ngrams(flat: Column, lo: int, hi: int) -> Column:
@@ -237,6 +240,17 @@ def analyze_parts(
     return analyze(text, analyzer, ngram_range, strip, stop_words), (1, 1)
 
 
+def analyze_units(
+    text: Column, analyzer: str = "word", ngram_range: tuple[int, int] = (1, 1), strip: bool = False, stop_words=(),
+) -> tuple[Column, tuple[int, int], str]:
+    """``analyze`` left to the caller as far as it can be: a list or a text, sizes of runs in it, and of what kind these are."""
+    if analyzer not in ("char", "char_wb"):
+        return *analyze_parts(text, analyzer, ngram_range, strip, stop_words), "word"
+    _check_range(*ngram_range)
+    text = strip_accents(F.lower(as_text(text))) if strip else as_text(text)
+    return _flat(text) if analyzer == "char" else ws_tokens(text), tuple(ngram_range), analyzer
+
+
 # --- sub-words ------------------------------------------------------------
 
 

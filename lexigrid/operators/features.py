@@ -13,7 +13,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import FLAG_PATTERNS, analyze, analyze_parts, regex_flags
+from lexigrid.functions.text import FLAG_PATTERNS, analyze, analyze_parts, analyze_units, regex_flags
 from lexigrid.functions.vectors import vector_cells
 from lexigrid.operators.vocab import fit_vocabulary
 from lexigrid.session import fits_broadcast
@@ -48,8 +48,8 @@ class _AnalyzerParams(HasInputCol, HasOutputCol):
     def _grams(self) -> Column:
         return analyze(*self._asked())
 
-    def _parts(self) -> tuple[Column, tuple[int, int]]:
-        return analyze_parts(*self._asked())
+    def _parts(self, bounded: bool) -> tuple[Column, tuple[int, int], str]:
+        return analyze_units(*self._asked()) if bounded else (*analyze_parts(*self._asked()), "word")
 
 
 class Analyzer(Transformer, _AnalyzerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -89,7 +89,7 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
         self._set(**self._input_kwargs)
 
     def vocabulary(self, dataset: DataFrame) -> DataFrame:
-        parts, sizes = self._parts()
+        parts, sizes, kind = self._parts(self.getOrDefault("maxFeatures") > 0)
         return fit_vocabulary(
             dataset,
             parts,
@@ -97,6 +97,7 @@ class NgramVectorizer(Estimator, _AnalyzerParams, DefaultParamsReadable, Default
             bound(self.getOrDefault("maxDF"), below=1.0 + 1e-12),
             self.getOrDefault("maxFeatures") or None,
             sizes=sizes,
+            kind=kind,
         )
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:

@@ -25,14 +25,16 @@ PIECE = 1 << 21
 BUCKETS_PER_TERM, SKETCH_ROWS, MOST_BUCKETS = 64, 3, 1 << 22
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of batches whose lists hold about ``PIECE`` elements, or one row with more."""
+def _pieces(batches: Iterator[pa.RecordBatch], column: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of batches whose lists (or texts) hold about ``PIECE`` elements (or bytes), or one row with more."""
     for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        own = batch.column(column)
+        lengths = pc.list_value_length(own) if pa.types.is_list(own.type) or pa.types.is_large_list(own.type) else pc.binary_length(own)
+        sizes = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, before + PIECE, side="right")))
+            to = max(at + 1, int(np.searchsorted(sizes, before + (most or PIECE), side="right")))
             yield batch.slice(at, to - at)
             at = to
 
@@ -168,17 +170,18 @@ class Sketch:
         self.sums.unpersist()
 
 
-def heavy_terms(counts: DataFrame, k: int, pick, least: int = 1, groups: int = 1) -> DataFrame:
+def heavy_terms(counts: DataFrame | None, k: int, pick, least: int = 1, groups: int = 1, sketch=None) -> DataFrame:
     """Exact statistics of the terms that ``pick`` chooses from partial counts, in reliable storage.
 
     ``pick`` maps partial counts to rows of chosen terms with their ``cf``: at most ``k`` in each of ``groups``, by falling ``cf``,
     and none with ``cf < least``; a term's ``cf`` is at most its sum over all counts. Only terms whose sketched frequency reaches a
     threshold are shuffled. The threshold starts at a bucket's frequency that about ``2 k`` terms reach; if the least frequent
     chosen term does not reach it, terms outside could be chosen too, and the threshold becomes that term's frequency, or ``least``.
+    ``sketch``: one that stands for the counts, as of texts.
     """
-    if BUCKETS_PER_TERM * k > MOST_BUCKETS:
+    if sketch is None and BUCKETS_PER_TERM * k > MOST_BUCKETS:
         return cut(pick(counts))
-    sketch = Sketch(counts, k)
+    sketch = sketch or Sketch(counts, k)
     threshold = max(least, sketch.above(2 * k))
     while True:
         chosen = cut(pick(sketch.candidates(threshold)))

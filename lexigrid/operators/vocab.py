@@ -7,20 +7,50 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.operators.term_counts import count_documents, heavy_terms, partial_counts, summed
-from lexigrid.session import cut, keep
+from lexigrid.operators.term_counts import BUCKETS_PER_TERM, MOST_BUCKETS, heavy_terms, partial_counts, summed
+from lexigrid.operators.text_sketch import TextSketch
+from lexigrid.session import cut
 
 # Rows a single task may merge when the top terms of all partitions meet.
 TOP_MERGE_ROWS = 20_000_000
 
 
-def term_stats(corpus: DataFrame, grams: Column, sizes: tuple[int, int] = (1, 1)) -> DataFrame:
+#: Sizes of the runs that are terms, least document frequency, number of terms.
+Top = tuple[tuple[int, int], int, int]
+
+
+def term_stats(corpus: DataFrame, grams: Column, sizes: tuple[int, int] = (1, 1), kind: str = "word", tops: list[Top] | None = None) -> DataFrame:
     """``(term, df, cf)``: documents with the term and occurrences of the term.
 
     Terms are counted inside the row and added up inside an Arrow batch, so a frequent term is
-    shuffled once for each batch and a rare one once for each document.
+    shuffled once for each batch and a rare one once for each document. ``sizes``, ``kind``: as for `fit_vocabulary`.
+
+    ``tops``: ``(top, term, df, cf)``, the most frequent terms of each of these only, by its place in the list; other terms are not
+    shuffled. All of them share one sketch and, as a rule, one pass for the exact counts.
     """
-    return summed(partial_counts(corpus.select(grams.alias("terms")), sizes=sizes))
+    if tops is None:
+        return summed(partial_counts(corpus.select(grams.alias("terms")), sizes=sizes))
+    sketch = TextSketch(corpus.select(grams.alias("terms")), max(k for _, _, k in tops), sizes, kind)
+    bounds = [max(low, sketch.above(2 * k, rng)) for rng, low, k in tops]
+    out, left = None, list(range(len(tops)))
+    while left:
+        if kind == "word":
+            rows = cut(sketch.by_size([(tops[i][0], bounds[i]) for i in left]).groupBy("size", "term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")))
+        else:  # runs of characters have one list of sizes
+            rows = cut(summed(sketch.candidates(min(bounds[i] for i in left))))
+        again = []
+        for i in left:
+            rng, low, k = tops[i]
+            stats = rows.filter(F.col("size").between(*rng)).drop("size") if kind == "word" else rows
+            one = cut(top_terms(frequency_cut(stats, sketch.n_docs, low), k).select(F.lit(i).alias("top"), "term", "df", "cf"))
+            n, reached = one.agg(F.count(F.lit(1)), F.min("cf")).first()
+            if bounds[i] <= low or (n >= k and reached >= bounds[i]):
+                out = one if out is None else out.unionByName(one)
+            else:  # a term that was left out can be more frequent than the last one
+                bounds[i] = max(low, reached) if n >= k else low
+                again.append(i)
+        left = again
+    return out
 
 
 def frequency_cut(stats: DataFrame, n_docs: int, min_df: int | float = 1, max_df: int | float = 1.0) -> DataFrame:
@@ -86,12 +116,18 @@ def least_documents(n_docs: int, min_df: int | float) -> int:
     return max(1, math.ceil(min_df * n_docs) if isinstance(min_df, float) else min_df)
 
 
-def top_of(counts: DataFrame, n_docs: int, min_df: int | float, max_df: int | float, max_features: int) -> DataFrame:
-    """The most frequent terms within the frequency bounds, from partial counts; the tail of rare terms is not shuffled."""
-    low = least_documents(n_docs, min_df)
-    return heavy_terms(
-        counts, max_features, lambda rows: top_terms(frequency_cut(summed(rows), n_docs, min_df, max_df), max_features), low
-    )
+def _top(
+    texts: DataFrame, n_docs: int | None, min_df: int | float, max_df: int | float, max_features: int, sizes: tuple[int, int], kind: str,
+) -> tuple[DataFrame, int]:
+    """The most frequent terms of texts (terms) within the frequency bounds, and the number of documents; the tail of rare terms is not shuffled."""
+    sketch = TextSketch(texts, max_features, sizes, kind) if kind != "word" or BUCKETS_PER_TERM * max_features <= MOST_BUCKETS else None
+    n_docs = n_docs if n_docs is not None else sketch.n_docs if sketch else texts.count()
+
+    def pick(rows: DataFrame) -> DataFrame:
+        return top_terms(frequency_cut(summed(rows), n_docs, min_df, max_df), max_features)
+
+    counts = None if sketch else partial_counts(texts, sizes=sizes)
+    return heavy_terms(counts, max_features, pick, least_documents(n_docs, min_df), sketch=sketch), n_docs
 
 
 def fit_vocabulary(
@@ -102,21 +138,21 @@ def fit_vocabulary(
     max_features: int | None = None,
     n_docs: int | None = None,
     sizes: tuple[int, int] = (1, 1),
+    kind: str = "word",
 ) -> DataFrame:
     """``(term, idx, df, cf, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``.
 
-    ``sizes``: terms are runs of so many neighbours in ``grams``, joined by a blank.
+    ``sizes``: terms are runs of so many neighbours in ``grams``, joined by a blank. With ``max_features``, ``kind`` may say that
+    they are runs of characters of the text ``grams`` (``char``) or inside the padded elements of ``grams`` (``char_wb``).
     """
+    if max_features is None and kind != "word":
+        raise ValueError("an unbounded vocabulary takes its terms as a list")
     if max_features is None:
         if n_docs is None:
             n_docs = corpus.count()
         stats = frequency_cut(term_stats(corpus, grams, sizes), n_docs, min_df, max_df)
     else:
-        counts = keep(partial_counts(corpus.select(grams.alias("terms")), sizes=sizes))
-        if n_docs is None:
-            n_docs = count_documents(counts)
-        stats = top_of(counts, n_docs, min_df, max_df, max_features)
-        counts.unpersist()
+        stats, n_docs = _top(corpus.select(grams.alias("terms")), n_docs, min_df, max_df, max_features, sizes, kind)
     indexed = alphabetical_index(stats, bounded=max_features is not None)
     return indexed.select(
         "term",
