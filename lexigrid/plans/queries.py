@@ -33,7 +33,7 @@ from lexigrid.operators.naive_bayes import (
     predict_models,
 )
 from lexigrid.plans import study
-from lexigrid.session import broadcast_if_small, cut, keep, spread
+from lexigrid.session import broadcast_if_small, keep, spread
 from lexigrid.sources.cache import StudyStore
 from lexigrid.sources.corpus import as_corpus, documents, pick, read_delimited, table
 from lexigrid.sources.sinks import correlation_matrix, export_vectors, read_selection, write_predictions, write_results
@@ -270,18 +270,15 @@ def feature_space_profile(spark, sf):
     """Size of five candidate feature spaces, and which fit a dense limit."""
     corpus = documents(spark, sf)
     n = corpus.count()
-    # a term's counts do not depend on the range it is asked for in: the widest range of words has the others
-    widest = max(rng[1] for _, analyzer, rng, _, _ in SPACES if analyzer == "word")
-    words = vocab.term_stats(corpus, tx.analyze(F.col("text"), "word", (1, widest)))
-    words = cut(words.withColumn("n", F.size(F.split("term", " "))))
     out = None
-    for name, analyzer, rng, min_df, size in SPACES:
-        if analyzer == "word":
-            stats = words.filter(F.col("n").between(*rng)).drop("n")
-        else:
-            stats = vocab.term_stats(corpus, tx.analyze(F.col("text"), analyzer, rng))
-        one = vocab.space_profile(stats, n, name, min_df, size)
-        out = one if out is None else out.unionByName(one)
+    for analyzer in dict.fromkeys(a for _, a, *_ in SPACES):
+        # a term's counts do not depend on the range it is asked for in: the spaces of an analyzer share their passes
+        spaces = [x for x in SPACES if x[1] == analyzer]
+        units, sizes, kind = tx.analyze_units(F.col("text"), analyzer, (min(x[2][0] for x in spaces), max(x[2][1] for x in spaces)))
+        stats = vocab.term_stats(corpus, units, sizes, kind, [(rng, min_df, size) for _, _, rng, min_df, size in spaces])
+        for i, (name, _, _, min_df, size) in enumerate(spaces):
+            one = vocab.space_profile(stats.filter(F.col("top") == i).drop("top"), n, name, min_df, size)
+            out = one if out is None else out.unionByName(one)
     return out.select(
         "candidate", "n_docs", "n_terms", "nnz", F.round("density", 9).alias("density"),
         F.round("dense_gb", 9).alias("dense_gb"), F.round("sparse_gb", 9).alias("sparse_gb"),
