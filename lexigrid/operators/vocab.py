@@ -116,18 +116,22 @@ def least_documents(n_docs: int, min_df: int | float) -> int:
     return max(1, math.ceil(min_df * n_docs) if isinstance(min_df, float) else min_df)
 
 
+def top_of(counts: DataFrame | None, n_docs: int, min_df: int | float, max_df: int | float, max_features: int, sketch: TextSketch | None = None) -> DataFrame:
+    """The most frequent terms within the frequency bounds, from partial counts or a sketch of texts; the tail of rare terms is not shuffled."""
+    low = least_documents(n_docs, min_df)
+    return heavy_terms(
+        counts, max_features, lambda rows: top_terms(frequency_cut(summed(rows), n_docs, min_df, max_df), max_features), low, sketch=sketch
+    )
+
+
 def _top(
     texts: DataFrame, n_docs: int | None, min_df: int | float, max_df: int | float, max_features: int, sizes: tuple[int, int], kind: str,
 ) -> tuple[DataFrame, int]:
-    """The most frequent terms of texts (terms) within the frequency bounds, and the number of documents; the tail of rare terms is not shuffled."""
+    """The most frequent terms of texts (terms) within the frequency bounds, and the number of documents."""
     sketch = TextSketch(texts, max_features, sizes, kind) if kind != "word" or BUCKETS_PER_TERM * max_features <= MOST_BUCKETS else None
     n_docs = n_docs if n_docs is not None else sketch.n_docs if sketch else texts.count()
-
-    def pick(rows: DataFrame) -> DataFrame:
-        return top_terms(frequency_cut(summed(rows), n_docs, min_df, max_df), max_features)
-
     counts = None if sketch else partial_counts(texts, sizes=sizes)
-    return heavy_terms(counts, max_features, pick, least_documents(n_docs, min_df), sketch=sketch), n_docs
+    return top_of(counts, n_docs, min_df, max_df, max_features, sketch), n_docs
 
 
 def fit_vocabulary(
